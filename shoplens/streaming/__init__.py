@@ -1,0 +1 @@
+"""Empty on purpose: the feature pipeline is one batch run and has no streaming operator."""
