@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.exprs import known_keys, short_name, sum_where
@@ -86,21 +86,23 @@ def trailing_counts(
         *[sum_where(F.col("type") == t).alias(f"n{t}") for t in types]
     )
     if only_active:
-        by_day = Window.partitionBy(*keys).orderBy(F.unix_date("action_date"))
+        by_day = f"partition by {', '.join(keys)} order by unix_date(action_date)"
         counts = [
-            F.sum(f"n{t}").over(by_day.rangeBetween(1 - n, 0)).alias(count_name(keys, t, n))
+            f"sum(n{t}) over ({by_day} range between {n - 1} preceding and current row) as {count_name(keys, t, n)}"
             for n in calendar.windows
             for t in types
         ]
         return (
-            daily.select(*keys, F.col("action_date").alias("anchor_date"), *counts)
+            daily.selectExpr(*keys, "action_date as anchor_date", *counts)
             .where(F.col("anchor_date").isin(*calendar.anchors))
         )
-    age = F.datediff("anchor_date", "action_date")
+    spread = at_anchors(daily, calendar).withColumn("age", F.datediff("anchor_date", "action_date"))
     counts = [
-        sum_where(age < n, f"n{t}").alias(count_name(keys, t, n)) for n in calendar.windows for t in types
+        F.expr(f"sum(if(age < {n}, n{t}, 0))").alias(count_name(keys, t, n))
+        for n in calendar.windows
+        for t in types
     ]
-    return at_anchors(daily, calendar).groupBy(*keys, "anchor_date").agg(*counts)
+    return spread.groupBy(*keys, "anchor_date").agg(*counts)
 
 
 def active_days(

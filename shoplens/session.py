@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,3 +77,9 @@ class HandOver:
         """Write ``df`` once and return the table read back."""
         df.write.mode("error").partitionBy(*partition_by).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def put_many(self, builders: dict[str, Callable[[], DataFrame]], at_once: int = 6) -> dict[str, DataFrame]:
+        """Write independent tables, a few jobs at a time, so that the tail of one job overlaps the next."""
+        with ThreadPoolExecutor(max_workers=at_once) as pool:
+            written = {name: pool.submit(lambda n, b: self.put(n, b()), name, build) for name, build in builders.items()}
+            return {name: job.result() for name, job in written.items()}
