@@ -96,9 +96,9 @@ def trailing_counts(
             daily.selectExpr(*keys, "action_date as anchor_date", *counts)
             .where(F.col("anchor_date").isin(*calendar.anchors))
         )
-    spread = at_anchors(daily, calendar).withColumn("age", F.datediff("anchor_date", "action_date"))
+    spread = at_anchors(daily, calendar).withColumn("elapsed", F.datediff("anchor_date", "action_date"))
     counts = [
-        F.expr(f"sum(if(age < {n}, n{t}, 0))").alias(count_name(keys, t, n))
+        F.expr(f"sum(if(elapsed < {n}, n{t}, 0))").alias(count_name(keys, t, n))
         for n in calendar.windows
         for t in types
     ]
