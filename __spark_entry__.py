@@ -21,7 +21,7 @@ from shoplens.operators import (
 )
 from shoplens.plans import run
 from shoplens.plans.features import feature_names
-from shoplens.plans.matrix import base_samples, feature_matrix
+from shoplens.plans.matrix import base_samples, feature_matrix, written_log
 from shoplens.session import HandOver, tune
 from shoplens.settings import Calendar
 from shoplens.sources import standin, tables as io
@@ -74,10 +74,10 @@ class _Inputs:
     def classes(self) -> DataFrame:
         return segments.user_classes(self.log, cart_span=(LAST, LAST))
 
-    def segment(self, *wanted: int) -> DataFrame:
-        """Scored samples of some segments."""
-        scored, classes = self.scored(), self.classes()
-        return scored.join(classes.where(F.col("user_class").isin(*wanted)).select("user_id"), "user_id", "left_semi")
+    def written_scores(self, calendar: Calendar = CALENDAR) -> DataFrame:
+        """Scored samples with their segment, written once: every percentile reads them several times."""
+        segment = self.classes().select("user_id", "user_class")
+        return HandOver(self.spark).put("scores", self.scored(calendar).join(segment, "user_id"))
 
 
 def _query(build: Callable[[_Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -121,7 +121,7 @@ def _matrix(x: _Inputs, folder: str) -> tuple[DataFrame, DataFrame]:
     key = (x.spark.sparkContext.applicationId, folder)
     if key not in _written:
         hand_over = HandOver(x.spark)
-        log = hand_over.put("log", x.log)
+        log = written_log(x.tables, hand_over)
         _written[key] = (hand_over.put("matrix", feature_matrix(x.tables, CALENDAR, hand_over, log)), log)
     return _written[key]
 
@@ -149,18 +149,19 @@ def _predicted_list(spark: SparkSession, folder: str) -> DataFrame:
     return lists["result"]
 
 
-def _selection(x: _Inputs, *wanted: int) -> DataFrame:
+def _selection(scores: DataFrame, *wanted: int) -> DataFrame:
     percents = selection.SEGMENT_PERCENTS if len(wanted) == 1 else selection.POOLED_PERCENTS
-    return selection.select_days(x.segment(*wanted), DAYS, percents)
+    return selection.select_days(scores.where(F.col("user_class").isin(*wanted)), DAYS, percents)
 
 
 def _consensus(x: _Inputs) -> DataFrame:
-    return selection.consensus(_selection(x, 2, 3), _selection(x, 2), _selection(x, 3))
+    scores = x.written_scores()
+    return selection.consensus(_selection(scores, 2, 3), _selection(scores, 2), _selection(scores, 3))
 
 
 def _results_roundtrip(x: _Inputs) -> DataFrame:
     """Selection written as CSV and as Parquet; rows that both copies hold."""
-    hand_over, chosen = HandOver(x.spark), _selection(x, 2)
+    hand_over, chosen = HandOver(x.spark), _selection(x.written_scores(), 2)
     copies = []
     for fmt in ("csv", "parquet"):
         io.write_result(chosen, hand_over.path(fmt), fmt)
@@ -184,7 +185,7 @@ def _csv_daily_curve(x: _Inputs) -> DataFrame:
 
 def _evaluation(x: _Inputs) -> DataFrame:
     days = (EVALUATION.last, EVALUATION.anchors[-2])
-    chosen = selection.select_days(x.scored(EVALUATION), days, (50, 70))
+    chosen = selection.select_days(x.written_scores(EVALUATION), days, (50, 70))
     after = F.col("action_date").between(date(2024, 1, 28), LAST)
     truth = x.log.where((F.col("type") == 2) & after).select(*samples.SAMPLE_KEYS).distinct()
     result = evaluate.evaluate_selection(chosen, truth)
@@ -238,10 +239,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "class1_rule": lambda x: segments.repeat_buyers(
             x.log, segments.user_classes(x.log.where(F.col("action_date") == F.lit(LAST))), LAST
         ),
-        "top_percentile": lambda x: selection.top_fraction(x.scored(), 92),
-        "segment_selection": lambda x: _selection(x, 2),
-        "segment3_selection": lambda x: _selection(x, 3),
-        "pooled_selection": lambda x: _selection(x, 2, 3),
+        "top_percentile": lambda x: selection.top_fraction(x.written_scores().drop("user_class"), 92),
+        "segment_selection": lambda x: _selection(x.written_scores(), 2),
+        "segment3_selection": lambda x: _selection(x.written_scores(), 3),
+        "pooled_selection": lambda x: _selection(x.written_scores(), 2, 3),
         "consensus": _consensus,
         "results_roundtrip": _results_roundtrip,
         "evaluate_selection": _evaluation,

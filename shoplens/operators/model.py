@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -33,24 +34,29 @@ class Boosters:
 
 def _assembled(sample: DataFrame, features: list[str]) -> DataFrame:
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
-    return assembler.transform(sample.na.fill(0, features))
+    return assembler.transform(sample)
 
 
 def train_boosters(
     sample: DataFrame, features: list[str], label: str = "flag",
     rounds: tuple[int, ...] = ROUNDS, **settings,
 ) -> Boosters:
-    """Fit one classifier per number of rounds.
+    """Fit one classifier per number of rounds on features without NULLs, as the matrix has them.
 
     Trees are grown from distributed histograms. Every tenth round is checkpointed in the shared
-    folder, which keeps the lineage of a long run short.
+    folder, which keeps the lineage of a long run short. The assembled vectors are kept, spilling
+    to disk, for the fits that share them; a lost part is assembled again.
     """
     context = sample.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(sample.sparkSession))
     rows = _assembled(sample, features).select("features", F.col(label).cast("double").alias("label"))
     options = {**TREE_SETTINGS, "checkpointInterval": 10, **settings}
-    return Boosters(features, [GBTClassifier(maxIter=r, **options).fit(rows) for r in rounds])
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Boosters(features, [GBTClassifier(maxIter=r, **options).fit(rows) for r in rounds])
+    finally:
+        rows.unpersist()
 
 
 def blended_score(

@@ -34,6 +34,15 @@ KEY_SETS = [
 ]
 
 
+def written_log(tables: Tables, hand_over: HandOver) -> DataFrame:
+    """Enriched daily log, written once by day, so that windows and cut-offs read only their days.
+
+    Rebalancing gives files of even size: small days share a task, large days are split.
+    """
+    log = enrich.daily_log(tables).hint("rebalance", "action_date")
+    return hand_over.put("log", log, partition_by=("action_date",))
+
+
 def base_samples(log: DataFrame, tables: Tables, calendar: Calendar) -> DataFrame:
     """Labelled samples with their profile, without those that some inner join would drop.
 
@@ -124,7 +133,7 @@ def feature_matrix(
 ) -> DataFrame:
     """Samples with label and all features, missing values as 0."""
     if log is None:
-        log = hand_over.put("log", enrich.daily_log(tables))
+        log = written_log(tables, hand_over)
     sample = hand_over.put("sample", base_samples(log, tables, calendar))
     rated = hand_over.put("rated_products", enrich.rated_products(tables))
     tables_by_keys = hand_over.put_many(

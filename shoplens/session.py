@@ -25,6 +25,11 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings this package relies on to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if not spark.sparkContext.master.startswith("local"):
+        # Start shuffles with a few partitions per core; AQE merges those that turn out small.
+        wanted = 3 * spark.sparkContext.defaultParallelism
+        given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(given, wanted)))
     return spark
 
 

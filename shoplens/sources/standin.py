@@ -16,9 +16,21 @@ EVENT_CODES = {"view": 1, "purchase": 2, "click": 3, "signup": 4}
 CART_CODE = 5
 
 
+# Columns read from each source table; a declared schema saves a job per table for its footer.
+SOURCE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_size int",
+    "supplier": "s_suppkey bigint, s_acctbal double",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "orders": "o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_returnflag string, l_shipdate timestamp_ntz",
+}
+
+
 def load(spark: SparkSession, folder: str) -> Tables:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
     return Tables(
         actions=_actions(table("events")),
