@@ -23,27 +23,38 @@ def rate_name(keys: list[str], target: int) -> str:
     return f"{'_'.join(keys)}_{target}_coversion_rate"
 
 
+def overall_rates(log: DataFrame, calendar: Calendar, targets: tuple[int, ...] = TARGET_TYPES) -> DataFrame:
+    """One row: for each target type its actions per browse before the cut-off day."""
+    kind = F.col("type")
+    browses = sum_where(kind == BROWSE)
+    return _past(log, calendar).agg(*[F.try_divide(sum_where(kind == t), browses).alias(f"mean_{t}") for t in targets])
+
+
 def conversion_rates(
     log: DataFrame, calendar: Calendar, keys: list[str],
-    targets: tuple[int, ...] = TARGET_TYPES, prior: int | None = None,
+    targets: tuple[int, ...] = TARGET_TYPES, prior: int | None = None, overall: DataFrame | None = None,
 ) -> DataFrame:
     """``(n_t + k m) / (n_browse + k)`` per key with at least one browse before the cut-off day.
 
     ``m`` is the same ratio over all rows, ``k`` is ``prior`` (by default 1000 for one key and 500
-    for two). All target types come from one aggregate.
+    for two). All target types come from one aggregate. ``overall`` is the written result of
+    :func:`overall_rates`, for callers with many key sets.
     """
     if prior is None:
         prior = ONE_KEY_PRIOR if len(keys) == 1 else TWO_KEY_PRIOR
-    past = log.where(F.col("action_date") < F.lit(calendar.conversion_before))
+    if overall is None:
+        overall = overall_rates(log, calendar, targets)
     kind = F.col("type")
     counts = [sum_where(kind == BROWSE).alias("browses")]
     counts += [sum_where(kind == t).alias(f"hits_{t}") for t in targets]
-    overall = past.agg(
-        F.struct(*[F.try_divide(sum_where(kind == t), sum_where(kind == BROWSE)).alias(f"mean_{t}") for t in targets])
-    ).scalar()
-    table = known_keys(past, keys).groupBy(*keys).agg(*counts).where("browses > 0")
+    means = overall.select(F.struct(*[f"mean_{t}" for t in targets])).scalar()
+    table = known_keys(_past(log, calendar), keys).groupBy(*keys).agg(*counts).where("browses > 0")
     rates = [
-        smoothed(F.col(f"hits_{t}"), F.col("browses"), prior, F.col(f"overall.mean_{t}")).alias(rate_name(keys, t))
+        smoothed(F.col(f"hits_{t}"), F.col("browses"), prior, F.col(f"means.mean_{t}")).alias(rate_name(keys, t))
         for t in targets
     ]
-    return table.withColumn("overall", overall).select(*keys, *rates)
+    return table.withColumn("means", means).select(*keys, *rates)
+
+
+def _past(log: DataFrame, calendar: Calendar) -> DataFrame:
+    return log.where(F.col("action_date") < F.lit(calendar.conversion_before))

@@ -60,16 +60,22 @@ def sku_comment_rates(comments: DataFrame, prior: int = COMMENT_PRIOR) -> DataFr
             total("bad_comments").alias("sku_bad_comment_nums"),
         )
     )
-    nums = F.col("sku_comment_nums")
-
-    def rate(kind: str):
-        hits = F.col(f"sku_{kind}_comment_nums")
-        mean = comments.dropna(subset=["sku_id"]).agg(
-            F.try_divide(F.sum(f"{kind}_comments"), F.sum("comments"))
-        ).scalar()
-        return smoothed(hits, nums, prior, mean).alias(f"sku_{kind}_comment_rate")
-
-    return sums.select("*", rate("good"), rate("bad"))
+    # Overall rates are taken from the sums per sku, so both read one shuffle of the comments.
+    means = sums.agg(
+        F.struct(
+            *[
+                F.try_divide(F.sum(f"sku_{kind}_comment_nums"), F.sum("sku_comment_nums")).alias(kind)
+                for kind in ("good", "bad")
+            ]
+        )
+    ).scalar()
+    rates = [
+        smoothed(F.col(f"sku_{kind}_comment_nums"), F.col("sku_comment_nums"), prior, F.col(f"means.{kind}")).alias(
+            f"sku_{kind}_comment_rate"
+        )
+        for kind in ("good", "bad")
+    ]
+    return sums.withColumn("means", means).select("*", *rates).drop("means")
 
 
 def rated_products(tables: Tables, prior: int = COMMENT_PRIOR) -> DataFrame:

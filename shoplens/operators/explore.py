@@ -76,7 +76,7 @@ def abnormal_days(log: DataFrame, low: float = 0.5) -> DataFrame:
     the type's mean over the whole span of the log. Works on the daily curve: days x types rows.
     """
     curve = daily_curve(log)
-    span = log.agg(F.min("action_date").alias("first"), F.max("action_date").alias("last"))
+    span = curve.agg(F.min("action_date").alias("first"), F.max("action_date").alias("last"))
     types = curve.groupBy("type").agg(
         F.min("action_date").alias("first_day"),
         F.max("action_date").alias("last_day"),

@@ -84,7 +84,7 @@ def dated_features(
 
 
 def undated_features(
-    log: DataFrame, rated: DataFrame, calendar: Calendar, keys: list[str]
+    log: DataFrame, rated: DataFrame, overall: DataFrame, calendar: Calendar, keys: list[str]
 ) -> DataFrame | None:
     """All families keyed by the keys alone, or None."""
     parts = [
@@ -94,7 +94,7 @@ def undated_features(
         history.history_counts(log, calendar, k) for k in history.HISTORY_KEYS if _same(keys, k)
     ]
     parts += [
-        conversion.conversion_rates(log, calendar, k)
+        conversion.conversion_rates(log, calendar, k, overall=overall)
         for k in conversion.ONE_KEY + conversion.TWO_KEYS
         if _same(keys, k)
     ]
@@ -103,12 +103,12 @@ def undated_features(
 
 
 def key_set_features(
-    log: DataFrame, sample: DataFrame, rated: DataFrame, calendar: Calendar, keys: list[str],
-    hand_over: HandOver,
+    log: DataFrame, sample: DataFrame, rated: DataFrame, overall: DataFrame, calendar: Calendar,
+    keys: list[str], hand_over: HandOver,
 ) -> DataFrame:
     """Every feature of one key set in one table."""
     dated = dated_features(log, sample, calendar, keys, hand_over)
-    undated = undated_features(log, rated, calendar, keys)
+    undated = undated_features(log, rated, overall, calendar, keys)
     if dated is None or undated is None:
         return dated if undated is None else undated
     return dated.join(undated, keys, "left")
@@ -136,9 +136,12 @@ def feature_matrix(
         log = written_log(tables, hand_over)
     sample = hand_over.put("sample", base_samples(log, tables, calendar))
     rated = hand_over.put("rated_products", enrich.rated_products(tables))
+    overall = hand_over.put("overall_rates", conversion.overall_rates(log, calendar))
     tables_by_keys = hand_over.put_many(
         {
-            "by_" + "_".join(keys): partial(key_set_features, log, sample, rated, calendar, keys, hand_over)
+            "by_" + "_".join(keys): partial(
+                key_set_features, log, sample, rated, overall, calendar, keys, hand_over
+            )
             for keys in KEY_SETS
         }
     )
