@@ -80,8 +80,19 @@ class _Inputs:
         return HandOver(self.spark).put("scores", self.scored(calendar).join(segment, "user_id"))
 
 
+_opened: dict[tuple[str, str], _Inputs] = {}
+
+
+def _inputs(spark: SparkSession, folder: str) -> _Inputs:
+    """Inputs of a folder; only the plans are kept between queries, no data."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _opened or _opened[key].spark is not spark:
+        _opened[key] = _Inputs(spark, folder)
+    return _opened[key]
+
+
 def _query(build: Callable[[_Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: _text_days(build(_Inputs(spark, folder)))
+    return lambda spark, folder: _text_days(build(_inputs(spark, folder)))
 
 
 def _flagship(x: _Inputs) -> DataFrame:
@@ -127,12 +138,12 @@ def _matrix(x: _Inputs, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    matrix, _ = _matrix(_Inputs(spark, folder), folder)
+    matrix, _ = _matrix(_inputs(spark, folder), folder)
     return _text_days(_rounded(matrix, *[c for c in matrix.columns if "_comm_rate_" in c]))
 
 
 def _gbt_scores(spark: SparkSession, folder: str) -> DataFrame:
-    matrix, _ = _matrix(_Inputs(spark, folder), folder)
+    matrix, _ = _matrix(_inputs(spark, folder), folder)
     train = segments.training_part(matrix, CALENDAR)
     boosters = model.train_boosters(train, feature_names(), rounds=QUICK_ROUNDS, **QUICK_TREES)
     scored = model.blended_score(boosters, segments.scoring_part(matrix, CALENDAR.last))
@@ -140,7 +151,7 @@ def _gbt_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _predicted_list(spark: SparkSession, folder: str) -> DataFrame:
-    x = _Inputs(spark, folder)
+    x = _inputs(spark, folder)
     matrix, log = _matrix(x, folder)
     classes = segments.user_classes(log, cart_span=(LAST, LAST))
     lists = run.predict_lists(
@@ -204,7 +215,7 @@ def _gap(x: _Inputs, keys: list[str], by_type: bool = True) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Labelled samples of eight anchors with trailing browse counts and their ranks."""
-    return _flagship(_Inputs(spark, "/root/testdata/sf0.001"))
+    return _text_days(_flagship(_inputs(spark, "/root/testdata/sf0.001")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

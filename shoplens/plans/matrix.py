@@ -134,9 +134,14 @@ def feature_matrix(
     """Samples with label and all features, missing values as 0."""
     if log is None:
         log = written_log(tables, hand_over)
-    sample = hand_over.put("sample", base_samples(log, tables, calendar))
-    rated = hand_over.put("rated_products", enrich.rated_products(tables))
-    overall = hand_over.put("overall_rates", conversion.overall_rates(log, calendar))
+    first = hand_over.put_many(
+        {
+            "sample": partial(base_samples, log, tables, calendar),
+            "rated_products": partial(enrich.rated_products, tables),
+            "overall_rates": partial(conversion.overall_rates, log, calendar),
+        }
+    )
+    sample, rated, overall = first["sample"], first["rated_products"], first["overall_rates"]
     tables_by_keys = hand_over.put_many(
         {
             "by_" + "_".join(keys): partial(
