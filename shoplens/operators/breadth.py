@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +38,14 @@ def trailing_distinct(
     the two shuffles.
 
     With ``only_active`` only anchors on which the keys were active get a row (see
-    :func:`shoplens.operators.trailing.trailing_counts`).
+    :func:`shoplens.operators.trailing.trailing_counts`). Anchors too far apart for one bit set are
+    split and the parts put together.
     """
+    spans = calendar.spans()
+    if len(spans) > 1:
+        return reduce(
+            DataFrame.unionByName, [trailing_distinct(log, s, keys, values, only_active, types) for s in spans]
+        )
     rows = known_keys(in_reach(log, calendar), keys)
     kind = dict(rows.dtypes)
     common = "string" if any(kind[v] == "string" for v in values) else "bigint"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.exprs import known_keys
@@ -29,8 +29,13 @@ def favourite(log: DataFrame, owner: str, item: str, kind: int | None = BROWSE)
 
 
 def item_share(log: DataFrame, owner: str, item: str, kind: int | None = BROWSE) -> DataFrame:
-    """Each item's part of its owner's actions; the window sees one row per distinct item."""
-    of_owner = Window.partitionBy(owner)
-    return _pair_counts(log, owner, item, kind).withColumn(
-        "share", F.col("actions") / F.sum("actions").over(of_owner)
+    """Each item's part of its owner's actions.
+
+    Totals are joined back rather than taken by a window: an owner of very many items can then be
+    split over tasks.
+    """
+    counts = _pair_counts(log, owner, item, kind)
+    totals = counts.groupBy(owner).agg(F.sum("actions").alias("total"))
+    return counts.join(totals, owner).select(
+        owner, item, "actions", (F.col("actions") / F.col("total")).alias("share")
     )

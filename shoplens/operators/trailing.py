@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +42,10 @@ def at_anchors(days: DataFrame, calendar: Calendar) -> DataFrame:
 
 
 def day_bit(calendar: Calendar) -> Column:
-    """Bit for ``action_date`` in a 64-bit set of days; bit 0 is the last anchor."""
-    if (calendar.last - calendar.first).days + calendar.reach > 63:
-        raise ValueError("anchors and longest window must fit into 63 days; split the anchors")
+    """Bit for ``action_date`` in a 64-bit set of days; bit 0 is the last anchor.
+
+    Needs a calendar of one span, see :meth:`shoplens.settings.Calendar.spans`.
+    """
     return F.call_function(
         "shiftleft", F.lit(1).cast("bigint"), F.datediff(F.lit(calendar.last), F.col("action_date"))
     )
@@ -112,8 +114,11 @@ def active_days(
     """Distinct days with an action of each type in every window.
 
     The days of a key form a bit set, so one mergeable aggregate per type answers all anchors and
-    windows, with one shuffle and no distinct.
+    windows, with one shuffle and no distinct. Anchors too far apart for one set are split.
     """
+    spans = calendar.spans()
+    if len(spans) > 1:
+        return reduce(DataFrame.unionByName, [active_days(log, s, keys, only_active, types) for s in spans])
     bit = day_bit(calendar)
     sets = known_keys(in_reach(log, calendar), keys).groupBy(*keys).agg(
         F.bit_or(bit).alias("any"),

@@ -12,6 +12,7 @@ from shoplens.operators.samples import SAMPLE_KEYS
 from shoplens.plans.features import feature_names
 from shoplens.session import HandOver
 from shoplens.settings import Calendar
+from shoplens.sources.tables import write_result
 
 
 def scored_days(
@@ -45,3 +46,9 @@ def predict_lists(
         lists[name] = hand_over.put(name, selection.select_days(scored, days, percents))
     lists["result"] = selection.consensus(lists["pooled"], lists["segment2"], lists["segment3"])
     return lists
+
+
+def write_lists(lists: dict[str, DataFrame], folder: str, fmt: str = "csv") -> None:
+    """Write every list as a table of its own below ``folder``."""
+    for name, selected in lists.items():
+        write_result(selected, f"{folder}/{name}", fmt)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 # Action type codes of the log.
@@ -73,3 +73,15 @@ class Calendar:
     @property
     def consecutive(self) -> bool:
         return (self.last - self.first).days + 1 == len(self.anchors)
+
+    def spans(self, longest: int = 63) -> list["Calendar"]:
+        """Split into calendars whose anchors and windows together cover at most ``longest`` days."""
+        if self.reach >= longest:
+            raise ValueError(f"windows must be shorter than {longest} days")
+        parts: list[list[date]] = []
+        for anchor in self.anchors:
+            if parts and (anchor - parts[-1][0]).days + self.reach <= longest:
+                parts[-1].append(anchor)
+            else:
+                parts.append([anchor])
+        return [replace(self, anchors=tuple(part)) for part in parts]

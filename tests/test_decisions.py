@@ -2,7 +2,7 @@
 
 import random
 from collections import Counter
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -13,8 +13,8 @@ from shoplens.functions.quantile import exact_percentile
 from shoplens.operators import (
     enrich, evaluate, explore, intervals, model, ranks, segments, selection, sequences, shares,
 )
-from shoplens.settings import Calendar
-from shoplens.sources.tables import SCHEMAS, Tables, read_csv
+from shoplens.plans import run
+from shoplens.sources.tables import SCHEMAS, Tables, read_csv, read_result
 from tests.conftest import LAST
 
 
@@ -194,6 +194,13 @@ def test_csv_scan_tolerates_floats_and_blanks(spark, tmp_path):
     assert row["user_reg_tm"] == datetime(2016, 8, 22)
 
 
+def test_lists_are_written_with_header(spark, tmp_path):
+    chosen = spark.createDataFrame([(1, 2, 3), (4, 5, 6)], "user_id bigint, cate bigint, shop_id bigint")
+    run.write_lists({"result": chosen}, str(tmp_path))
+    back = read_result(spark, f"{tmp_path}/result", chosen.schema, "csv")
+    assert sorted(tuple(r) for r in back.collect()) == [(1, 2, 3), (4, 5, 6)]
+
+
 def test_boosters_learn_and_blend(spark):
     rng = random.Random(2)
     rows = [(float(a), float(b), int(a + b > 1)) for a, b in ((rng.random(), rng.random()) for _ in range(300))]

@@ -170,6 +170,20 @@ def test_anchors_need_not_be_consecutive(make_log):
     assert days == set(anchors)
 
 
+def test_anchors_far_apart_are_split_into_spans(make_log, calendar):
+    anchors = (LAST - timedelta(days=200), LAST - timedelta(days=60), LAST)
+    wide = Calendar(anchors, anchors[0], anchors[0], anchors[2])
+    assert [c.anchors for c in wide.spans()] == [(a,) for a in anchors]
+    assert len(calendar.spans()) == 1
+    log = make_log([(1, 1, 1, k, 2, ago) for k, ago in ((1, 0), (2, 5), (3, 61), (4, 200), (4, 203), (5, 221))])
+    skus = rows_by(breadth.trailing_distinct(log, wide, ["user_id"], ["sku_id"]), "anchor_date")
+    days = rows_by(trailing.active_days(log, wide, ["user_id"]), "anchor_date")
+    assert [skus[(a,)]["user_action_skus_21day"] for a in anchors] == [1, 1, 2]
+    assert [days[(a,)]["user_action2_counts_date_21day"] for a in anchors] == [2, 1, 2]
+    with pytest.raises(ValueError):
+        Calendar.ending(LAST, windows=(1, 90)).spans()
+
+
 def test_labels_look_only_ahead(make_log, calendar):
     anchor = calendar.last - timedelta(days=4)
     for ahead, expected in ((0, 0), (1, 1), (3, 1), (4, 0), (-1, 0)):
