@@ -27,6 +27,16 @@ def scored_days(
     return scored.select(*SAMPLE_KEYS, "anchor_date", "flag", "score")
 
 
+def hold_out_auc(boosters: model.Boosters, sample: DataFrame, calendar: Calendar) -> float:
+    """AUC on the anchors that are neither trained on nor scored."""
+    last_two = calendar.last - timedelta(days=1)
+    held_out = sample.where(
+        (F.col("anchor_date") >= F.lit(calendar.train_before)) & (F.col("anchor_date") < F.lit(last_two))
+    )
+    weights = (1.0,) * len(boosters.models)
+    return model.area_under_curve(model.blended_score(boosters, held_out, weights))
+
+
 def predict_lists(
     matrix: DataFrame, classes: DataFrame, calendar: Calendar, hand_over: HandOver,
     rounds: tuple[int, ...] = model.ROUNDS, **settings,

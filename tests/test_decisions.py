@@ -201,7 +201,7 @@ def test_lists_are_written_with_header(spark, tmp_path):
     assert sorted(tuple(r) for r in back.collect()) == [(1, 2, 3), (4, 5, 6)]
 
 
-def test_boosters_learn_and_blend(spark):
+def test_boosters_learn_and_blend(spark, calendar):
     rng = random.Random(2)
     rows = [(float(a), float(b), int(a + b > 1)) for a, b in ((rng.random(), rng.random()) for _ in range(300))]
     sample = spark.createDataFrame(rows, "a double, b double, flag int")
@@ -212,5 +212,7 @@ def test_boosters_learn_and_blend(spark):
     low, high = scored.agg(F.min("score"), F.max("score")).collect()[0]
     assert 0 <= low < high <= 2 + 1 / 3
     assert model.area_under_curve(scored) > 0.9
+    held_out = sample.withColumn("anchor_date", F.lit(calendar.train_before))
+    assert run.hold_out_auc(boosters, held_out, calendar) > 0.9
     with pytest.raises(ValueError):
         model.blended_score(model.Boosters(boosters.features, boosters.models[:2]), sample)
