@@ -27,6 +27,14 @@ from shoplens.settings import Calendar
 from shoplens.sources import standin, tables as io
 from shoplens.sources.tables import SCHEMAS, Tables
 
+# The operators on training data are a part of their own: without it all else stays as it is.
+try:
+    from shoplens.llm import queries as corpus_queries, sql as corpus_sql
+except ImportError as missing:
+    if missing.name not in ("shoplens.llm", "corpus_pipeline"):
+        raise
+    corpus_queries = corpus_sql = None
+
 LAST = date(2024, 1, 30)
 CALENDAR = Calendar.ending(LAST, as_of=date(2025, 1, 1))
 EVALUATION = Calendar.ending(date(2024, 1, 27), as_of=date(2025, 1, 1))
@@ -293,9 +301,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feature_matrix": _feature_matrix,
         "gbt_scores": _gbt_scores,
         "predicted_list": _predicted_list,
+        **(corpus_queries.QUERIES if corpus_queries else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name -> DuckDB SQL; the two queries that train a model have none."""
-    return oracle.oracle(feature_names())
+    return {**oracle.oracle(feature_names()), **(corpus_sql.SQL if corpus_sql else {})}

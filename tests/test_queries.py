@@ -6,8 +6,9 @@ import __spark_entry__ as catalogue
 from checks.compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = catalogue.oracle_sql()
-QUERIES = catalogue.queries()
+CORPUS = set(catalogue.corpus_queries.QUERIES) if catalogue.corpus_queries else set()
+SQL = {name: sql for name, sql in catalogue.oracle_sql().items() if name not in CORPUS}
+QUERIES = {name: build for name, build in catalogue.queries().items() if name not in CORPUS}
 
 
 @pytest.fixture(scope="module")
