@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,3 +55,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes:
                 first, total = i + 1, 0
         if first < batch.num_rows:
             yield batch.slice(first)
+
+
+def worker_cache(name: str) -> dict:
+    """A dictionary that outlives the task in a reused Python worker; losing it costs time only."""
+    holder = sys.modules.setdefault("_shoplens_worker_cache", types.ModuleType("_shoplens_worker_cache"))
+    return holder.__dict__.setdefault(name, {})
+
+
+def wide(spark: SparkSession, rows: int, per_partition: int) -> int:
+    """Partitions for ``rows`` rows, not fewer than the session's shuffle partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_partition))

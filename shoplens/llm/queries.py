@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, mixing, quality_rules
+from shoplens.llm import chat, line_dedup, mixing, packing, quality_rules, simhash
 from shoplens.llm.common import table
 
 # The conversation that holds the template's own marks.
@@ -30,6 +30,20 @@ def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.prefix_examples(turns.unionByName(marked)))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    classes = simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
+    return classes.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents")).drop("ids")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.weak_supervision(table(spark, folder, "documents"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", F.round("quality", 6).alias("quality"))
@@ -38,5 +52,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op4_chat": op4_chat,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_simhash": op6_simhash,
+    "op8_packing": op8_packing,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -49,4 +49,22 @@ SELECT conv_id, count(*) AS n_turns,
 FROM o GROUP BY conv_id
 """
 
-SQL = {"op1_mixing": OP1, "op4_chat": OP4}
+OP5 = """
+WITH l AS (
+    SELECT id, doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (
+        SELECT id, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+        FROM (SELECT row_number() OVER () AS id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+    )
+),
+k AS (
+    SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+),
+m AS (SELECT l.*, k.keeper IS NOT NULL AND k.keeper <> l.doc_id AS gone FROM l LEFT JOIN k ON l.key = k.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY id
+"""
+
+SQL = {"op1_mixing": OP1, "op4_chat": OP4, "op5_line_dedup": OP5}
