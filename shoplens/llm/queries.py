@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, line_dedup, mixing, packing, quality_rules, simhash
+from shoplens.llm import chat, compression_quality, line_dedup, mixing, packing, quality_rules, simhash, toxicity
 from shoplens.llm.common import table
 
 # The conversation that holds the template's own marks.
@@ -20,6 +20,11 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", "copy", F.length("text").alias("text_chars"), "shuffle_key")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     rows = F.explode(F.array(*[
@@ -44,6 +49,12 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).drop("ids")
 
 
+def op9_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = compression_quality.fit(docs, table(spark, folder, "labels"))
+    return compression_quality.score(docs, model, threshold=0.3)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.weak_supervision(table(spark, folder, "documents"))
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", F.round("quality", 6).alias("quality"))
@@ -51,9 +62,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_toxicity": op2_toxicity,
     "op4_chat": op4_chat,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
+    "op9_compression_quality": op9_compression_quality,
     "op10_quality_rules": op10_quality_rules,
 }
