@@ -1,202 +1,200 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Word bigram models of toxic and of ordinary text are compared: the score is the difference of their
-log-likelihoods per word, turned into a probability by a logistic curve. A bigram model is
-interpolated with the class's continuation counts, and these with the continuation counts of both
-classes together. Words and bigrams below ``LEAST_SHARE`` of a class's words are rare
-expressions: both classes give them the shared estimate.
-
-Counts cover all labelled rows that may be learnt from, but a fifth kept for the curve. The share
-bounds the vocabulary and the table of bigrams to 2 / LEAST_SHARE entries at any input size, so the
-model can be broadcast; what is counted before grows with the input. The curve is fitted on at most
-``CURVE_DOCS`` documents per label.
-
-Defined results: null and empty texts hold no word but an end, and are scored like others; words are
-runs of letters, marks and digits in lower case, told apart by 64-bit hashes; contradicting labels
-are not learnt from; with no or one class of labels every score is the share of label 1; rows
-repeated with one ``doc_id`` get a row each; an empty table gives no rows; other columns are ignored.
+Two models of how words are spelt, one of toxic and one of ordinary text, predict each character of
+a word from the ``ORDER - 1`` before it. Each level of a class's model backs off to its own
+continuation counts; at ``SHARED`` characters and below, and in the uniform base, both classes
+back off to the same counts, so that rare expressions speak for neither. Inflected and compound forms
+of an expression share its character grams.
+
+The evidence of a text is the mean over its words of what a word's log-likelihood ratio (toxic over
+ordinary) exceeds ``MARGIN`` by: length-normalised, and free of the small differences that language and
+topic give to all words. A logistic curve on documents kept aside turns it into a score.
+
+Counts cover all labelled rows that may be learnt from, but a fifth kept for the curve; a word
+counts once per document. Grams in less than ``LEAST_SHARE`` of a class's counts are dropped, which
+bounds the model to 2 / LEAST_SHARE grams at any input size, so it can be broadcast; what is
+counted before grows with the input. The curve is fitted on at most ``CURVE_DOCS`` documents per label.
+
+Defined results: null, empty and wordless texts have evidence 0; words are runs of letters and
+digits in lower case; contradicting labels are not learnt from; with no or one class of labels every
+score is the share of label 1; rows repeated with one ``doc_id`` get a row each; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.llm.common import slices, worker_cache
 from shoplens.llm.labels import attach, fold, logistic, sample, scored, training_labels
 
-LEAST_SHARE, LEAST_COUNT, DISCOUNT = 1e-5, 2, 0.75
+ORDER, SHARED, DISCOUNT, MARGIN = 5, 2, 0.75, 3.0
+LEAST_SHARE, LEAST_COUNT = 1e-6, 2
 CURVE_FOLDS, CURVE_DOCS = 5, 10_000
-# Number of a word that is not in the vocabulary; the two ends of a text are ordinary entries.
-RARE = -1
-START, END = np.int64(1), np.int64(2)
-BUCKETS = 64
+BEFORE, AFTER = 1, 2  # code points that stand for the ends of a word
+UNIFORM = 1 / 256
+# Words a task tallies before it sends them on, and words a worker remembers.
+TALLIED, REMEMBERED = 500_000, 1_000_000
 
 
-def word_hashes(text: Column) -> Column:
-    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+def words_in(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
 
 
-def _pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context and word of every position of a batch of texts, and the number of positions per text."""
-    offsets = column.offsets.to_numpy().astype("int64")
-    values = column.values.to_numpy()[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    return np.insert(values, offsets[:-1], START), np.insert(values, offsets[1:], END), np.diff(offsets) + 1
+def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the gram that ends at each character of each word and at its end, one row
+    each, and the word's number."""
+    sizes = np.fromiter(map(len, words), "int64", len(words))
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+    width = sizes + ORDER
+    first, first_letter = np.cumsum(width) - width, np.cumsum(sizes) - sizes
+    flat = np.full(int(width.sum()), BEFORE, "uint32")
+    flat[np.repeat(first + ORDER - 1 - first_letter, sizes) + np.arange(len(letters))] = letters
+    flat[first + width - 1] = AFTER
+    steps = sizes + 1
+    at = np.repeat(first - (np.cumsum(steps) - steps), steps) + np.arange(int(steps.sum()))
+    return np.stack([flat[at + j] for j in range(ORDER)], axis=1), np.repeat(np.arange(len(words)), steps)
 
 
-def _batched(batches: Iterator[pa.RecordBatch], most: int = 4_000_000) -> Iterator[pa.Table]:
-    """Batches put together until they hold ``most`` words, so that counts shrink before they travel."""
-    held, total = [], 0
-    for batch in batches:
-        held.append(batch)
-        total += len(batch.column("words").values)
-        if total >= most:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, total = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+def _keys(grams: np.ndarray) -> np.ndarray:
+    """64-bit hash of each row."""
+    h = np.full(len(grams), grams.shape[1] + 1, "uint64")
+    for column in grams.T:
+        h = (h ^ column.astype("uint64")) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
 
-def _tally(keys: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with their counts in ordinary and toxic text."""
-    names, place = np.unique(keys, return_inverse=True)
-    both = np.bincount(2 * place + toxic, minlength=2 * len(names)).reshape(-1, 2)
-    return names, both[:, 0], both[:, 1]
+@dataclass(frozen=True)
+class Level:
+    """One order: backoff weight by context, discounted probability by gram; columns ordinary, toxic."""
+
+    contexts: np.ndarray
+    backoff: np.ndarray
+    grams: np.ndarray
+    own: np.ndarray
+
+
+def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> list[Level]:
+    """Levels from one character up, from distinct grams with their counts in either class."""
+    levels, now, count = [], grams, counts.astype("float64")
+    for order in range(ORDER, 0, -1):
+        keys, first, place = np.unique(_keys(now), return_index=True, return_inverse=True)
+        total = np.stack([np.bincount(place, count[:, c], len(keys)) for c in (0, 1)], axis=1)
+        if order <= SHARED:
+            total = np.repeat(np.bincount(place, minlength=len(keys))[:, None].astype("float64"), 2, axis=1)
+        rows = now[first]
+        contexts, of = np.unique(_keys(rows[:, :-1]), return_inverse=True)
+        mass = np.stack([np.bincount(of, total[:, c], len(contexts)) for c in (0, 1)], axis=1)
+        kinds = np.stack([np.bincount(of, total[:, c] > 0, len(contexts)) for c in (0, 1)], axis=1)
+        backoff = np.where(mass > 0, DISCOUNT * kinds / np.maximum(mass, 1), 1.0)
+        levels.append(Level(contexts, backoff, keys, np.maximum(total - DISCOUNT, 0) / np.maximum(mass, 1)[of]))
+        # The next level counts in how many distinct longer grams a gram ends: continuation counts.
+        now, count = rows[:, 1:], (total > 0).astype("float64")
+    return levels[::-1]
+
+
+def _rows(keys: np.ndarray, table: np.ndarray, wanted: np.ndarray, otherwise: float) -> np.ndarray:
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where((keys[at] == wanted)[:, None], table[at], otherwise)
+
+
+@dataclass(frozen=True)
+class Model:
+    levels: list[Level]
+    curve: tuple[float, float] = (0.0, 0.0)
 
+    def excess(self, words: list[str]) -> np.ndarray:
+        """Per word what its log-likelihood ratio exceeds the margin by."""
+        if not self.levels or not words:
+            return np.zeros(len(words))
+        grams, owner = grams_of(words)
+        p = np.full((len(grams), 2), UNIFORM)
+        for order, level in enumerate(self.levels, 1):
+            part = grams[:, ORDER - order :]
+            p = p * _rows(level.contexts, level.backoff, _keys(part[:, :-1]), 1.0) + _rows(level.grams, level.own, _keys(part), 0.0)
+        ratio = np.bincount(owner, np.log(p[:, 1] / p[:, 0]), len(words))
+        return np.maximum(ratio - MARGIN, 0.0)
 
-def _lookup(vocabulary: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Number of each word in the sorted vocabulary, or RARE."""
-    if not len(vocabulary):
-        return np.full(len(values), RARE, "int64")
-    at = np.minimum(np.searchsorted(vocabulary, values), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == values, at, RARE)
+    def mark(self) -> int:
+        return zlib.crc32(b"".join(x.tobytes() for level in self.levels for x in (level.grams, level.own)))
 
 
-def _one(column: pa.ChunkedArray) -> pa.Array:
-    return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+def _text_list(batch: pa.RecordBatch) -> list[str]:
+    return [x or "" for x in batch.column("text").to_pylist()]
 
 
 def count_words(train: DataFrame) -> DataFrame:
-    """(word, n0, n1) of ordinary and toxic text, ends of texts included."""
+    """(word, n0, n1): ordinary and toxic documents that hold a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _batched(batches):
-            _, words, sizes = _pairs(_one(part.column("words")))
-            label = np.repeat(part.column("label").to_numpy().astype("int64"), sizes)
-            # A start for each text, as the context of its first word.
-            every = np.concatenate([words, np.full(len(sizes), START)])
-            label = np.concatenate([label, part.column("label").to_numpy().astype("int64")])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _tally(every, label)], ["word", "n0", "n1"])
-
-    counted = train.select("label", "words").mapInArrow(run, "word bigint, n0 bigint, n1 bigint")
+        tally: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        for batch in slices(batches):
+            for label, text in zip(batch.column("label").to_pylist(), _text_list(batch), strict=True):
+                own = tally[label]
+                for word in set(words_in(text)):
+                    own[word] = own.get(word, 0) + 1
+            if len(tally[0]) + len(tally[1]) > TALLIED:
+                yield _tallied(*tally)
+                tally = ({}, {})
+        yield _tallied(*tally)
+
+    counted = train.select("label", "text").mapInArrow(run, "word string, n0 bigint, n1 bigint")
     return counted.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def count_pairs(train: DataFrame, vocabulary: np.ndarray, least: tuple[float, float]) -> DataFrame:
-    """Rows (context, word, n0, n1) of frequent bigrams; rows with context null hold a word's
-    continuation counts: distinct contexts in ordinary text, toxic text and either."""
-    sent = train.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        for part in _batched(batches):
-            context, word, sizes = _pairs(_one(part.column("words")))
-            label = np.repeat(part.column("label").to_numpy().astype("int64"), sizes)
-            context, word = _lookup(known, context), _lookup(known, word)
-            both = (context >= 0) & (word >= 0)
-            keys, n0, n1 = _tally(word[both] << 32 | context[both], label[both])
-            packed = np.stack([keys, n0 << 32 | n1], axis=1)
-            bucket = (keys >> 32) % BUCKETS
-            order = np.argsort(bucket, kind="stable")
-            names, first = np.unique(bucket[order], return_index=True)
-            payload = [x.tobytes() for x in np.split(packed[order], first[1:])] if len(names) else []
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(payload, pa.binary())], ["bucket", "pairs"])
-
-    def merge(group: pa.Table) -> pa.Table:
-        packed = np.frombuffer(b"".join(group.column("pairs").to_pylist()), "int64").reshape(-1, 2)
-        keys, place = np.unique(packed[:, 0], return_inverse=True)
-        n0 = np.bincount(place, packed[:, 1] >> 32, len(keys)).astype("int64")
-        n1 = np.bincount(place, packed[:, 1] & 0xFFFFFFFF, len(keys)).astype("int64")
-        word = keys >> 32
-        words, at = np.unique(word, return_inverse=True)
-        seen = [np.bincount(at, x, len(words)).astype("int64") for x in (n0 > 0, n1 > 0, np.ones(len(keys)))]
-        kept = (n0 >= least[0]) | (n1 >= least[1])
-        context = pa.concat_arrays([pa.array(keys[kept] & 0xFFFFFFFF), pa.nulls(len(words), pa.int64())])
-        return pa.table({
-            "context": context, "word": np.concatenate([word[kept], words]), "n0": np.concatenate([n0[kept], seen[0]]),
-            "n1": np.concatenate([n1[kept], seen[1]]), "either": np.concatenate([np.zeros(kept.sum(), "int64"), seen[2]]),
-        })
-
-    sent_rows = train.select("label", "words").mapInArrow(send, "bucket bigint, pairs binary")
-    return sent_rows.groupBy("bucket").applyInArrow(merge, "context bigint, word bigint, n0 bigint, n1 bigint, either bigint")
+def _tallied(ordinary: dict[str, int], toxic: dict[str, int]) -> pa.RecordBatch:
+    words = list(ordinary | toxic)
+    columns = [pa.array(words, pa.string()), *[pa.array([t.get(w, 0) for w in words], pa.int64()) for t in (ordinary, toxic)]]
+    return pa.RecordBatch.from_arrays(columns, ["word", "n0", "n1"])
 
 
-@dataclass(frozen=True)
-class Model:
-    """Log-ratios: per word as a word and as a context, and what a frequent bigram adds to them."""
+def count_grams(words: DataFrame) -> DataFrame:
+    """(gram, n0, n1) of the highest order, from words with their counts."""
 
-    vocabulary: np.ndarray
-    ratio: np.ndarray
-    pairs: np.ndarray
-    extra: np.ndarray
-    curve: tuple[float, float] = (0.0, 0.0)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            grams, owner = grams_of(batch.column("word").to_pylist())
+            names, place = np.unique(np.ascontiguousarray(grams).view(f"<U{ORDER}").ravel(), return_inverse=True)
+            sums = [np.bincount(place, batch.column(c).to_numpy()[owner], len(names)).astype("int64") for c in ("n0", "n1")]
+            yield pa.RecordBatch.from_arrays([pa.array(names.tolist(), pa.string()), *map(pa.array, sums)], ["gram", "n0", "n1"])
 
-    def evidence(self, column: pa.Array) -> np.ndarray:
-        """Per text the mean over its positions of log P(toxic) - log P(ordinary)."""
-        context, word, sizes = _pairs(column)
-        context, word = _lookup(self.vocabulary, context), _lookup(self.vocabulary, word)
-        ratio = np.append(self.ratio, [[0.0, 0.0]], axis=0)  # the last row is for rare words
-        each = ratio[word, 0] + ratio[context, 1]
-        if len(self.pairs):
-            keys = word << 32 | np.maximum(context, 0)
-            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-            hit = (self.pairs[at] == keys) & (word >= 0) & (context >= 0)
-            each[hit] += self.extra[at[hit]]
-        first = np.cumsum(sizes) - sizes
-        return np.add.reduceat(each, first) / sizes if len(sizes) else np.empty(0)
-
-
-def kneser_ney(words: np.ndarray, counts: np.ndarray, seen: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray) -> Model:
-    """Model from counts (columns: ordinary, toxic).
-
-    ``seen``: continuation counts of ordinary text, toxic text and both; ``pairs``: numbers of word
-    and context of the frequent bigrams. A context's backoff weight is the mass its frequent
-    bigrams leave, so that a context without any backs off alike in both classes.
-    """
-    shared = (seen[:, 2] + 1.0) / (seen[:, 2].sum() + len(words))
-    lower = np.empty((len(words), 2))
-    for c in (0, 1):
-        total = max(1, seen[:, c].sum())
-        types = np.count_nonzero(seen[:, c])
-        held = DISCOUNT * types / total if seen[:, c].sum() else 1.0
-        lower[:, c] = np.maximum(seen[:, c] - DISCOUNT, 0) / total + held * shared
-    word, context = pairs >> 32, pairs & 0xFFFFFFFF
-    own = np.maximum(counts[context], 1)
-    higher = np.maximum(pair_counts - DISCOUNT, 0) / own
-    backoff = np.empty((len(words), 2))
-    for c in (0, 1):
-        backoff[:, c] = np.maximum(1 - np.bincount(context, higher[:, c], len(words)), 1e-3)
-    ratio = np.stack([np.log(lower[:, 1] / lower[:, 0]), np.log(backoff[:, 1] / backoff[:, 0])], axis=1)
-    full = higher + backoff[context] * lower[word]
-    extra = np.log(full[:, 1] / full[:, 0]) - ratio[word, 0] - ratio[context, 1]
-    return Model(words, ratio, pairs, extra)
+    counted = words.mapInArrow(run, "gram string, n0 bigint, n1 bigint")
+    return counted.groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def _evidence(docs: DataFrame, model: Model, keep: str) -> DataFrame:
-    """Columns of ``docs`` but ``words``, and ``evidence``."""
+    """Columns of ``docs`` but ``text``, and ``evidence``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in batches:
-            found = pa.array(model.evidence(batch.column("words")))
-            names = [n for n in batch.schema.names if n != "words"]
+        cache = worker_cache("toxicity")
+        if cache.get("mark") != model.mark():
+            cache.update(mark=model.mark(), words={})
+        known = cache["words"]
+        for batch in slices(batches, most_bytes=8 << 20):
+            split = [words_in(t) for t in _text_list(batch)]
+            new = list(set().union(*split).difference(known))
+            if len(known) + len(new) > REMEMBERED:
+                known.clear()
+                new = list(set().union(*split))
+            for i in range(0, len(new), 50_000):
+                part = new[i : i + 50_000]
+                known.update(zip(part, model.excess(part).tolist(), strict=True))
+            found = pa.array([sum(map(known.__getitem__, w)) / len(w) if w else 0.0 for w in split], pa.float64())
+            names = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], found], [*names, "evidence"])
 
     return docs.mapInArrow(run, f"{keep}, evidence double")
@@ -205,32 +203,24 @@ def _evidence(docs: DataFrame, model: Model, keep: str) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", seed: int = 2) -> Model:
     """Counts over all labelled rows that may be learnt from, then the curve on those kept aside."""
     usable = training_labels(labels, column).withColumn("_fold", fold(F.col("doc_id"), CURVE_FOLDS, seed))
-    hashed = docs.select("doc_id", "text")
-    train = attach(hashed, usable.where("_fold > 0")).select(F.col("label"), word_hashes(F.col("text")).alias("words"))
-    counted = count_words(train)
-    totals = counted.agg(F.sum("n0"), F.sum("n1")).first()
-    least = [max(LEAST_COUNT, LEAST_SHARE * (n or 0)) for n in totals]
-    frequent = counted.where((F.col("n0") >= least[0]) | (F.col("n1") >= least[1])).orderBy("word").toPandas()
-    words, counts = frequent["word"].to_numpy("int64"), frequent[["n0", "n1"]].to_numpy("int64")
-    found = count_pairs(train, words, tuple(least)).toPandas()
-    is_word = found["context"].isna().to_numpy()
-    seen = np.zeros((len(words), 3), "int64")
-    seen[found["word"].to_numpy("int64")[is_word]] = found.loc[is_word, ["n0", "n1", "either"]].to_numpy("int64")
-    keys = found["word"].to_numpy("int64")[~is_word] << 32 | found.loc[~is_word, "context"].to_numpy("int64")
-    order = np.argsort(keys)
-    model = kneser_ney(words, counts, seen, keys[order], found.loc[~is_word, ["n0", "n1"]].to_numpy("int64")[order])
+    plain = docs.select("doc_id", "text")
+    counted = count_grams(count_words(attach(plain, usable.where("_fold > 0"))))
+    totals = F.struct(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    from_all = counted.agg(totals.alias("t")).first()["t"]
+    least = [max(LEAST_COUNT, LEAST_SHARE * (from_all[c] or 0)) for c in ("n0", "n1")]
+    frequent = counted.where((F.col("n0") >= least[0]) | (F.col("n1") >= least[1])).orderBy("gram").toPandas()
+    grams = np.frombuffer("".join(frequent["gram"]).encode("utf-32-le"), "<u4").reshape(-1, ORDER)
+    model = Model(kneser_ney(grams, frequent[["n0", "n1"]].to_numpy("int64")) if len(grams) else [])
     aside = sample(usable.where("_fold = 0"), CURVE_DOCS, seed).select("doc_id", "label")
-    measured = hashed.join(F.broadcast(aside), "doc_id").select("label", word_hashes(F.col("text")).alias("words"))
-    rows = _evidence(measured, model, "label int").collect()
+    rows = _evidence(plain.join(F.broadcast(aside), "doc_id").select("label", "text"), model, "label int").collect()
     label = np.array([r["label"] for r in rows], "float64")
     value = np.array([r["evidence"] for r in rows], "float64")
     shares = {r["label"]: r["n"] for r in usable.where("_fold = 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
     weight = np.where(label == 1, shares.get(1, 0) / max(1, np.sum(label == 1)), shares.get(0, 0) / max(1, np.sum(label == 0)))
-    curve = logistic(value, label, weight)
-    return Model(model.vocabulary, model.ratio, model.pairs, model.extra, curve)
+    return Model(model.levels, logistic(value, label, weight))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """(doc_id, held_out, score, evidence, predicted) per row."""
-    hashed = docs.select(F.col("doc_id").cast("long"), word_hashes(F.col("text")).alias("words"))
-    return scored(_evidence(hashed, model, "doc_id bigint"), F.col("evidence"), model.curve, threshold)
+    found = _evidence(docs.select(F.col("doc_id").cast("long"), "text"), model, "doc_id bigint")
+    return scored(found, F.col("evidence"), model.curve, threshold)
