@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, compression_quality, line_dedup, mixing, packing, quality_rules, simhash, toxicity
+from shoplens.llm import chat, compression_quality, line_dedup, mixing, packing, quality_rules, simhash, substring_dedup, toxicity
 from shoplens.llm.common import table
 
 # The conversation that holds the template's own marks.
@@ -45,6 +45,11 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(table(spark, folder, "documents").select("doc_id", "text"), width=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).drop("ids")
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat": op4_chat,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_packing": op8_packing,
     "op9_compression_quality": op9_compression_quality,
     "op10_quality_rules": op10_quality_rules,

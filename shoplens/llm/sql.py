@@ -67,4 +67,23 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, (count(*) FILTER (gone)
 FROM m GROUP BY id
 """
 
-SQL = {"op1_mixing": OP1, "op4_chat": OP4, "op5_line_dedup": OP5}
+OP7 = """
+WITH d AS (
+    SELECT row_number() OVER () AS id, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+),
+s AS (SELECT id, unnest(range(1, len(w) - 33)) AS pos, w FROM d WHERE len(w) >= 35),
+h AS (SELECT id, pos, array_to_string(w[pos:pos + 34], ' ') AS run FROM s),
+r AS (SELECT id, pos FROM (SELECT id, pos, count(*) OVER (PARTITION BY run) AS n FROM h) WHERE n > 1),
+t AS (SELECT id, doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d WHERE len(w) > 0),
+g AS (
+    SELECT t.id, t.pos, t.word, coalesce(t.pos - max(r.pos) OVER (PARTITION BY t.id ORDER BY t.pos) < 35, false) AS gone
+    FROM t LEFT JOIN r ON t.id = r.id AND t.pos = r.pos
+)
+SELECT any_value(d.doc_id) AS doc_id, count(g.pos) AS n_words, (count(g.pos) FILTER (g.gone))::BIGINT AS n_removed,
+    sha256(coalesce(string_agg(g.word, ' ' ORDER BY g.pos) FILTER (NOT g.gone), '')) AS kept_sha256
+FROM d LEFT JOIN g ON d.id = g.id GROUP BY d.id
+"""
+
+SQL = {"op7_substring_dedup": OP7, "op1_mixing": OP1, "op4_chat": OP4, "op5_line_dedup": OP5}
