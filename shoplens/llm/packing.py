@@ -14,9 +14,11 @@ other columns are ignored. Every id lies in exactly one piece.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain, count
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -36,31 +38,67 @@ REMEMBERED_WORDS = 600_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
 
 
+# Letters and signs whose normal form and lower case are plain, and how the vocabulary's splitter
+# cuts words of them (fixed values: its contractions and classes, on lower case).
+PLAIN = re.compile(r"[\x21-\x7e\xc0-\xff]+")
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+class _Parts(dict):
+    """Ids of a part of a word, from the tokenizer's own merges."""
+
+    def __init__(self, tokenizer) -> None:
+        self.model = tokenizer.model
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        # The byte alphabet: printable bytes stand for themselves, the others follow from 256 on.
+        self.alphabet = {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+    def __missing__(self, part: str) -> bytes:
+        spelt = part.encode().decode("latin-1").translate(self.alphabet)
+        ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        self[part] = ids
+        return ids
+
+
+class _Words(dict):
+    """Ids of a word between white space; words of other letters go to the tokenizer as they are."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer, self.parts = tokenizer, _Parts(tokenizer)
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if PLAIN.fullmatch(text) and not ("<|" in text and any(s in text for s in self.special)):
+            ids = b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
+        else:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+
 def encoder(path: str) -> Callable[[list[bytes]], Iterator[bytes]]:
-    """Function from texts to their ids as little-endian 32-bit numbers.
+    """Function from texts to their ids as little-endian 32-bit numbers, for the word vocabulary.
 
-    The vocabulary's splitter never lets a token cross ASCII white space, so words are encoded once
-    and remembered. The marks of special tokens count as the library takes them by default.
+    Its splitter never lets a token cross ASCII white space, so words, and the parts that the splitter
+    cuts them into, are encoded once and remembered. The marks of special tokens count as the
+    library takes them by default.
     """
     cache = worker_cache(path)
-    if "tokenizer" not in cache:
+    if "words" not in cache:
         from tokenizers import Tokenizer
 
-        cache["tokenizer"], cache["words"] = Tokenizer.from_file(path), {}
-    tokenizer, known = cache["tokenizer"], cache["words"]
+        cache["words"] = _Words(Tokenizer.from_file(path))
+    known = cache["words"]
 
     def encode(batch: list[bytes]) -> Iterator[bytes]:
-        split = [t.split() for t in batch]
-        new = list(set(chain.from_iterable(split)).difference(known))
-        if len(known) + len(new) > REMEMBERED_WORDS:
-            known.clear()
-            new = list(set(chain.from_iterable(split)))
-        for i in range(0, len(new), 1000):
-            part = new[i : i + 1000]
-            for word, found in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        for words in split:
-            yield b"".join(map(known.__getitem__, words))
+        for text in batch:
+            if len(known) > REMEMBERED_WORDS:
+                known.clear()
+            if len(known.parts) > REMEMBERED_WORDS:
+                known.parts.clear()
+            yield b"".join(map(known.__getitem__, text.split()))
 
     return encode
 
