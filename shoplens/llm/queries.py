@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import chat, compression_quality, line_dedup, mixing, packing, quality_rules, simhash, substring_dedup, toxicity
+import corpus_pipeline
+from shoplens.llm import chat, compression_quality, line_dedup, mixing, packing, permutation_index, quality_rules, simhash, substring_dedup, toxicity
 from shoplens.llm.common import table
 
 # The conversation that holds the template's own marks.
@@ -25,6 +26,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def op3_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     rows = F.explode(F.array(*[
@@ -68,6 +73,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
+    "op3_permutation_index": op3_permutation_index,
     "op4_chat": op4_chat,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
@@ -75,4 +81,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_compression_quality": op9_compression_quality,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }

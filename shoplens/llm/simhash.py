@@ -54,14 +54,15 @@ def majority(text: bytes, shingle: int, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """(doc_id, fingerprint as a signed long) per row, from the whole text."""
+    """(doc_id, text_hash, fingerprint as a signed long) per row, from the whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = np.array([majority(t, shingle) for t in texts(batch)], "uint64").view("int64")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found)], ["doc_id", "text_hash", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id bigint, fingerprint bigint")
+    plain = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    return plain.mapInArrow(run, "doc_id bigint, text_hash bigint, fingerprint bigint")
 
 
 def segments(radius: int) -> list[tuple[int, int]]:
@@ -169,8 +170,8 @@ def links(nodes: DataFrame, radius: int, n_nodes: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4) -> DataFrame:
-    """(doc_id, fingerprint, component_id) per row; ``component_id`` is the smallest ``doc_id`` that
-    links reach. The texts are read once; all else works on the written fingerprints."""
+    """(doc_id, text_hash, fingerprint, component_id) per row; ``component_id`` is the smallest
+    ``doc_id`` that links reach. The texts are read once; all else works on the written fingerprints."""
     marked = written(fingerprints(docs, shingle), "fingerprints")
     nodes = written(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
     found = components(links(nodes.select("fingerprint"), radius, nodes.count()))
@@ -178,4 +179,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4) -> DataF
     placed = placed.withColumn("root", F.coalesce("root", "fingerprint"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = placed.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
-    return marked.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return marked.join(classes, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id")
+
+
+def one_per_class(docs: DataFrame, shingle: int = 5, radius: int = 4) -> DataFrame:
+    """``docs`` reduced to one row per class: the smallest id and, of rows that share it, the smallest
+    text hash; of equal rows one. Rows without id form one class only with each other's copies."""
+    last = F.lit(int(np.iinfo("int64").max))
+    found = near_duplicates(docs, shingle, radius)
+    key = F.struct(F.coalesce("doc_id", last).alias("_sd_id"), F.col("text_hash").alias("_sd_text"))
+    group = F.struct(F.coalesce("component_id", last), F.when(F.col("component_id").isNull(), F.col("fingerprint")))
+    keepers = found.groupBy(group.alias("g")).agg(F.min(key).alias("k")).select("k.*")
+    keyed = docs.withColumns({"_sd_id": F.coalesce(F.col("doc_id").cast("long"), last), "_sd_text": F.xxhash64("text")})
+    # The rows meet on the key, so equal rows are already side by side for the last step.
+    kept = keyed.join(keepers, ["_sd_id", "_sd_text"], "left_semi")
+    return kept.dropDuplicates(["_sd_id", "_sd_text"]).drop("_sd_id", "_sd_text")

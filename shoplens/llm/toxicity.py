@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -174,27 +174,36 @@ def count_grams(words: DataFrame) -> DataFrame:
     return counted.groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
+def _judge(model: Model) -> Callable[[list[str]], list[float]]:
+    """Function from texts to their evidence; a worker remembers the words of one model."""
+    cache = worker_cache("toxicity")
+    if cache.get("mark") != model.mark():
+        cache.update(mark=model.mark(), words={})
+    known = cache["words"]
+
+    def judge(texts: list[str]) -> list[float]:
+        split = [words_in(t) for t in texts]
+        new = list(set().union(*split).difference(known))
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = list(set().union(*split))
+        for i in range(0, len(new), 50_000):
+            part = new[i : i + 50_000]
+            known.update(zip(part, model.excess(part).tolist(), strict=True))
+        return [sum(map(known.__getitem__, w)) / len(w) if w else 0.0 for w in split]
+
+    return judge
+
+
 def _evidence(docs: DataFrame, model: Model, keep: str) -> DataFrame:
     """Columns of ``docs`` but ``text``, and ``evidence``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        cache = worker_cache("toxicity")
-        if cache.get("mark") != model.mark():
-            cache.update(mark=model.mark(), words={})
-        known = cache["words"]
+        judge = _judge(sent.value)
         for batch in slices(batches, most_bytes=8 << 20):
-            split = [words_in(t) for t in _text_list(batch)]
-            new = list(set().union(*split).difference(known))
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set().union(*split))
-            for i in range(0, len(new), 50_000):
-                part = new[i : i + 50_000]
-                known.update(zip(part, model.excess(part).tolist(), strict=True))
-            found = pa.array([sum(map(known.__getitem__, w)) / len(w) if w else 0.0 for w in split], pa.float64())
             names = [n for n in batch.schema.names if n != "text"]
+            found = pa.array(judge(_text_list(batch)), pa.float64())
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], found], [*names, "evidence"])
 
     return docs.mapInArrow(run, f"{keep}, evidence double")
@@ -224,3 +233,18 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """(doc_id, held_out, score, evidence, predicted) per row."""
     found = _evidence(docs.select(F.col("doc_id").cast("long"), "text"), model, "doc_id bigint")
     return scored(found, F.col("evidence"), model.curve, threshold)
+
+
+def filtered(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose score reaches ``threshold``; nothing is shuffled."""
+    slope, intercept = model.curve
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _judge(sent.value)
+        for batch in slices(batches, most_bytes=8 << 20):
+            value = np.array(judge(_text_list(batch)))
+            chance = 1 / (1 + np.exp(-(slope * value + intercept)))
+            yield batch.filter(pa.array(chance < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
