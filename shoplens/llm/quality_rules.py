@@ -1,8 +1,9 @@
 """Quality rules as weak supervision.
 
 Rules vote good, bad or abstain on document statistics. Expectation-maximisation over the counts of
-vote patterns estimates the accuracy of each rule on good and on bad text; the posterior probability
-that a document is good replaces a test that all rules pass. Built-in functions only.
+vote patterns estimates how often each rule votes either way, or abstains, on good and on bad text; the
+posterior probability that a document is good replaces a test that all rules pass. Rules that look for
+one kind of junk vote bad or abstain, as its absence says little. Built-in functions only.
 
 Defined results: null and empty texts have no words, fail the base test and are not kept; equal
 texts get equal results; rows repeated with one ``doc_id`` stay repeated; an empty table gives no
@@ -12,7 +13,6 @@ rows; columns named like the added ones are replaced.
 from __future__ import annotations
 
 import math
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,17 +29,18 @@ FUNCTION_WORDS = (
 ).split()
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-# rule -> (measure, good if, bad if); otherwise the rule abstains.
+# rule -> (good if, bad if); otherwise the rule abstains.
 RULES: dict[str, tuple[str, str]] = {
     "length": ("n_words >= 80", "n_words < 30"),
-    "word_length": ("word_chars BETWEEN 3 * n_words AND 10 * n_words", "word_chars < 2 * n_words OR word_chars > 14 * n_words"),
-    "symbols": ("n_symbols <= 0.03 * n_words", "n_symbols > 0.1 * n_words"),
-    "lines": ("n_lines > 2 AND n_dup_lines <= 0.1 * n_lines", "n_dup_lines > 0.3 * n_lines"),
-    "repeats": ("n_repeat_words <= 0.15 * n_words", "n_repeat_words > 0.4 * n_words"),
-    "capitals": ("n_capitals <= 0.1 * word_chars", "n_capitals > 0.4 * word_chars"),
+    "word_length": ("word_chars BETWEEN 3 * n_words AND 7 * n_words", "word_chars < 2 * n_words OR word_chars > 12 * n_words"),
+    "symbols": ("n_symbols <= 0.005 * n_words", "n_symbols > 0.08 * n_words"),
+    "lines": ("false", "n_dup_lines > 0.3 * n_lines"),
+    "repeats": ("false", "n_repeat_words > 0.3 * n_words"),
+    "capitals": ("false", "n_capitals > 0.4 * word_chars"),
     "function_words": ("n_function >= 4", "n_function < 2 AND n_words >= 30"),
-    "variety": ("n_distinct >= 0.3 * n_words", "n_distinct < 0.1 * n_words"),
+    "variety": ("false", "n_distinct < 0.15 * n_words"),
 }
+VOTES = (-1, 0, 1)
 
 
 def _window_hashes(words: Column) -> Column:
@@ -99,45 +100,54 @@ def votes(measured: DataFrame) -> DataFrame:
     })
 
 
-def fit_accuracies(patterns: dict[tuple[int, ...], int], rounds: int = 200, tolerance: float = 1e-9) -> tuple[float, list[tuple[float, float]]]:
-    """EM on pattern counts: prior of good, and per rule its accuracy on good and on bad text.
+Rates = list[dict[int, tuple[float, float]]]
 
-    Votes are independent given the class; abstaining says nothing. Accuracies stay within
-    [0.55, 0.999], so that a rule never turns into its opposite.
+
+def fit_rates(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = 200, tolerance: float = 1e-9) -> tuple[float, Rates]:
+    """EM on pattern counts: the share of good documents and, per rule and vote, how often the rule
+    votes so on good and on bad text.
+
+    Votes are independent given the class. The start takes patterns with a bad vote for bad; a rule's
+    vote never counts against its own sense (see ``weights_of``).
     """
-    n_rules = len(next(iter(patterns), ()))
-    prior, accuracy = 0.8, [(0.9, 0.6)] * n_rules
+    prior, rates = 0.8, [{v: (1 / 3, 1 / 3) for v in VOTES}] * n_rules
     total = sum(patterns.values())
     if not total:
-        return prior, accuracy
-    bound = lambda x: min(0.999, max(0.55, x))
+        return prior, rates
+    good = {p: n * (0.05 if -1 in p else 0.95) for p, n in patterns.items()}
     for _ in range(rounds):
-        good = {p: n * posterior(p, prior, accuracy) for p, n in patterns.items()}
         found = []
         for k in range(n_rules):
-            tally = {(c, v): 1.0 for c, v in product((0, 1), (-1, 1))}
+            tally = {v: [1.0, 1.0] for v in VOTES}
             for p, n in patterns.items():
-                if p[k]:
-                    tally[1, p[k]] += good[p]
-                    tally[0, p[k]] += n - good[p]
-            found.append((bound(tally[1, 1] / (tally[1, 1] + tally[1, -1])), bound(tally[0, -1] / (tally[0, 1] + tally[0, -1]))))
+                tally[p[k]][0] += good[p]
+                tally[p[k]][1] += n - good[p]
+            sums = [sum(t[c] for t in tally.values()) for c in (0, 1)]
+            found.append({v: (t[0] / sums[0], t[1] / sums[1]) for v, t in tally.items()})
         share = min(0.999, max(0.001, sum(good.values()) / total))
-        change = max([abs(share - prior), *(abs(x - y) for a, b in zip(found, accuracy, strict=True) for x, y in zip(a, b, strict=True))])
-        prior, accuracy = share, found
+        change = max([abs(share - prior), *(abs(a[v][c] - b[v][c]) for a, b in zip(found, rates, strict=True) for v in VOTES for c in (0, 1))])
+        prior, rates = share, found
+        good = {p: n * posterior(p, prior, rates) for p, n in patterns.items()}
         if change < tolerance:
             break
-    return prior, accuracy
+    return prior, rates
+
+
+def accuracy_of(rates: dict[int, tuple[float, float]]) -> tuple[float, float]:
+    """How often a rule is right when it votes, on good and on bad text."""
+    return rates[1][0] / (rates[1][0] + rates[-1][0]), rates[-1][1] / (rates[1][1] + rates[-1][1])
 
 
-def weights_of(prior: float, accuracy: list[tuple[float, float]]) -> tuple[float, list[tuple[float, float]]]:
-    """Log-odds of the prior, and of each rule's good and bad vote."""
-    return math.log(prior / (1 - prior)), [(math.log(g / (1 - b)), math.log((1 - g) / b)) for g, b in accuracy]
+def weights_of(prior: float, rates: Rates) -> tuple[float, list[dict[int, float]]]:
+    """Log-odds of the prior, and of each rule's votes: none counts against its own sense, and
+    abstaining may tilt the result but not decide it."""
+    sense = {-1: lambda x: min(x, 0.0), 0: lambda x: max(-1.0, min(1.0, x)), 1: lambda x: max(x, 0.0)}
+    return math.log(prior / (1 - prior)), [{v: sense[v](math.log(r[v][0] / r[v][1])) for v in VOTES} for r in rates]
 
 
-def posterior(pattern: tuple[int, ...], prior: float, accuracy: list[tuple[float, float]]) -> float:
-    base, weights = weights_of(prior, accuracy)
-    total = base + sum(w[0] if v > 0 else w[1] for v, w in zip(pattern, weights, strict=True) if v)
-    return 1 / (1 + math.exp(-total))
+def posterior(pattern: tuple[int, ...], prior: float, rates: Rates) -> float:
+    base, weights = weights_of(prior, rates)
+    return 1 / (1 + math.exp(-max(-500.0, base + sum(w[v] for v, w in zip(pattern, weights, strict=True)))))
 
 
 def weak_supervision(docs: DataFrame, least: float = 0.5) -> DataFrame:
@@ -149,11 +159,10 @@ def weak_supervision(docs: DataFrame, least: float = 0.5) -> DataFrame:
     voted = written(votes(signals(docs)), "signals")
     names = [f"vote_{rule}" for rule in RULES]
     counted = voted.groupBy(*names).agg(F.count("*").alias("n")).collect()
-    fitted = fit_accuracies({tuple(r[c] for c in names): r["n"] for r in sorted(counted)})
-    base, weights = weights_of(*fitted)
+    base, weights = weights_of(*fit_rates({tuple(r[c] for c in names): r["n"] for r in sorted(counted)}, len(names)))
     logit = F.lit(base)
-    for name, (good, bad) in zip(names, weights, strict=True):
-        logit = logit + F.when(F.col(name) > 0, good).when(F.col(name) < 0, bad).otherwise(0.0)
+    for name, weight in zip(names, weights, strict=True):
+        logit = logit + F.when(F.col(name) > 0, weight[1]).when(F.col(name) < 0, weight[-1]).otherwise(weight[0])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = voted.withColumn("quality", 1 / (1 + F.exp(-logit))).withColumn("base_failed", failed)
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least))

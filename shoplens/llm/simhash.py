@@ -169,27 +169,29 @@ def links(nodes: DataFrame, radius: int, n_nodes: int) -> DataFrame:
     return spread.mapInArrow(meet, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4) -> DataFrame:
-    """(doc_id, text_hash, fingerprint, component_id) per row; ``component_id`` is the smallest
-    ``doc_id`` that links reach. The texts are read once; all else works on the written fingerprints."""
+def _classes(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """(doc_id, text_hash, fingerprint, root, component_id) per row; ``root`` names the class."""
     marked = written(fingerprints(docs, shingle), "fingerprints")
     nodes = written(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
     found = components(links(nodes.select("fingerprint"), radius, nodes.count()))
     placed = nodes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     placed = placed.withColumn("root", F.coalesce("root", "fingerprint"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = placed.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
-    return marked.join(classes, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id")
+    return marked.join(placed.select("fingerprint", "root").join(least, "root"), "fingerprint")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4) -> DataFrame:
+    """(doc_id, fingerprint, component_id) per row; ``component_id`` is the smallest ``doc_id`` that
+    links reach. The texts are read once; all else works on the written fingerprints."""
+    return _classes(docs, shingle, radius).select("doc_id", "fingerprint", "component_id")
 
 
 def one_per_class(docs: DataFrame, shingle: int = 5, radius: int = 4) -> DataFrame:
     """``docs`` reduced to one row per class: the smallest id and, of rows that share it, the smallest
-    text hash; of equal rows one. Rows without id form one class only with each other's copies."""
+    text hash; of equal rows one. Rows without id come last in this order."""
     last = F.lit(int(np.iinfo("int64").max))
-    found = near_duplicates(docs, shingle, radius)
     key = F.struct(F.coalesce("doc_id", last).alias("_sd_id"), F.col("text_hash").alias("_sd_text"))
-    group = F.struct(F.coalesce("component_id", last), F.when(F.col("component_id").isNull(), F.col("fingerprint")))
-    keepers = found.groupBy(group.alias("g")).agg(F.min(key).alias("k")).select("k.*")
+    keepers = _classes(docs, shingle, radius).groupBy("root").agg(F.min(key).alias("k")).select("k.*")
     keyed = docs.withColumns({"_sd_id": F.coalesce(F.col("doc_id").cast("long"), last), "_sd_text": F.xxhash64("text")})
     # The rows meet on the key, so equal rows are already side by side for the last step.
     kept = keyed.join(keepers, ["_sd_id", "_sd_text"], "left_semi")

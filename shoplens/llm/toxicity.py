@@ -236,8 +236,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
 
 
 def filtered(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the rows whose score reaches ``threshold``; nothing is shuffled."""
+    """``docs`` without the rows whose score reaches ``threshold``; nothing is shuffled. A curve
+    without slope, for want of labels, rejects nothing."""
     slope, intercept = model.curve
+    if slope == 0:
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
