@@ -41,9 +41,15 @@ EVALUATION = Calendar.ending(date(2024, 1, 27), as_of=date(2025, 1, 1))
 HORIZONS = (1, 3, 4, 7)
 DAYS = (CALENDAR.last, CALENDAR.anchors[-2])
 SCORE = "100 * user_cate_action1_counts_7day + 10 * user_shop_action1_counts_7day + user_action1_counts_21day"
-# Small settings, so that a run of all queries stays short; the library defaults are the full ones.
-QUICK_ROUNDS = (2, 3, 4)
-QUICK_TREES = {"maxDepth": 4}
+# Anchors with gaps: the anchor before the last is not the day before it.
+GAPS = Calendar(
+    (date(2024, 1, 20), date(2024, 1, 25), LAST), conversion_before=date(2024, 1, 20), history_before=date(2024, 1, 10),
+    train_before=date(2024, 1, 25), as_of=date(2025, 1, 1),
+)
+LONG = Calendar.ending(LAST, windows=(7, 90), as_of=date(2025, 1, 1))
+# Trial rounds of the two registered training queries; depth, rate, bins and sampling are the
+# library's. All 1,300 rounds would take hours here (README.md has the time per round).
+TRIAL_ROUNDS = (2, 3, 4)
 
 
 def _text_days(df: DataFrame) -> DataFrame:
@@ -132,40 +138,80 @@ def _rank(x: _Inputs, family: str, keys: list[str]) -> DataFrame:
     return ranks.rank_family(sample, counts, CALENDAR, family)
 
 
-_written: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+def _matrix(x: _Inputs) -> tuple[DataFrame, DataFrame]:
+    """Written matrix and log."""
+    hand_over = HandOver(x.spark)
+    log = written_log(x.tables, hand_over)
+    return hand_over.put("matrix", feature_matrix(x.tables, CALENDAR, hand_over, log)), log
 
 
-def _matrix(x: _Inputs, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Written matrix and log of a folder, built once per session for the queries that train on it."""
-    key = (x.spark.sparkContext.applicationId, folder)
-    if key not in _written:
-        hand_over = HandOver(x.spark)
-        log = written_log(x.tables, hand_over)
-        _written[key] = (hand_over.put("matrix", feature_matrix(x.tables, CALENDAR, hand_over, log)), log)
-    return _written[key]
+def _feature_matrix(x: _Inputs) -> DataFrame:
+    matrix, _ = _matrix(x)
+    return _rounded(matrix, *[c for c in matrix.columns if "_comm_rate_" in c])
 
 
-def _feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    matrix, _ = _matrix(_inputs(spark, folder), folder)
-    return _text_days(_rounded(matrix, *[c for c in matrix.columns if "_comm_rate_" in c]))
+def _trained(x: _Inputs) -> DataFrame:
+    """Samples of the last day with the probability of each model and their blend."""
+    matrix, _ = _matrix(x)
+    boosters = model.train_boosters(segments.training_part(matrix, CALENDAR), feature_names(), rounds=TRIAL_ROUNDS)
+    rows = model.probabilities(boosters, segments.scoring_part(matrix, CALENDAR.last))
+    parts = [f"probability_{i}" for i in range(len(TRIAL_ROUNDS))]
+    return model.blend(rows, parts).select(*samples.SAMPLE_KEYS, "anchor_date", "flag", *parts, "score")
 
 
-def _gbt_scores(spark: SparkSession, folder: str) -> DataFrame:
-    matrix, _ = _matrix(_inputs(spark, folder), folder)
-    train = segments.training_part(matrix, CALENDAR)
-    boosters = model.train_boosters(train, feature_names(), rounds=QUICK_ROUNDS, **QUICK_TREES)
-    scored = model.blended_score(boosters, segments.scoring_part(matrix, CALENDAR.last))
-    return _text_days(scored.select(*samples.SAMPLE_KEYS, "anchor_date", "flag", "score"))
+def _gbt_scores(x: _Inputs) -> DataFrame:
+    return _trained(x).select(*samples.SAMPLE_KEYS, "anchor_date", "flag", "score")
 
 
-def _predicted_list(spark: SparkSession, folder: str) -> DataFrame:
-    x = _inputs(spark, folder)
-    matrix, log = _matrix(x, folder)
-    classes = segments.user_classes(log, cart_span=(LAST, LAST))
-    lists = run.predict_lists(
-        matrix, classes, CALENDAR, HandOver(spark), rounds=QUICK_ROUNDS, **QUICK_TREES
+def _gbt_score_contract(x: _Inputs) -> DataFrame:
+    """Every sample of the last day once, with what must hold for its score."""
+    inside = " and ".join(f"probability_{i} between 0 and 1" for i in range(len(TRIAL_ROUNDS)))
+    parts = " + ".join(f"{w!r}D * probability_{i}" for i, w in enumerate(model.BLEND_WEIGHTS))
+    return _trained(x).selectExpr(
+        *samples.SAMPLE_KEYS, "anchor_date", "flag", f"{inside} as in_range", f"abs(score - ({parts})) < 1e-12 as is_blend"
     )
-    return lists["result"]
+
+
+def _predicted(x: _Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Predicted list, matrix and classes of one run."""
+    matrix, log = _matrix(x)
+    classes = segments.user_classes(log, cart_span=(LAST, LAST))
+    return run.predict_lists(matrix, classes, CALENDAR, HandOver(x.spark), rounds=TRIAL_ROUNDS)["result"], matrix, classes
+
+
+def _predicted_list_contract(x: _Inputs) -> DataFrame:
+    """Rows of the predicted list that break a rule: not scored, of another class, or repeated."""
+    result, matrix, classes = _predicted(x)
+    scored = matrix.where(F.col("anchor_date").isin(*DAYS)).select(*samples.SAMPLE_KEYS).distinct()
+    segment = classes.where(F.col("user_class").isin(2, 3)).select("user_id")
+    repeated = result.groupBy(*samples.SAMPLE_KEYS).agg(F.count("*").alias("rows"))
+    unknown = repeated.join(scored, samples.SAMPLE_KEYS, "left_anti").withColumn("fault", F.lit("not scored"))
+    other = repeated.join(segment, "user_id", "left_anti").withColumn("fault", F.lit("other class"))
+    twice = repeated.where("rows > 1").withColumn("fault", F.lit("repeated"))
+    return unknown.unionByName(other).unionByName(twice)
+
+
+def _blend_scores(x: _Inputs) -> DataFrame:
+    """The blend of three fixed probability columns."""
+    scored = x.scored()
+    shares = {"a": F.col("score") / (F.col("score") + 10), "b": F.col("score") / (F.col("score") + 100), "c": F.col("score") / (F.col("score") + 1000)}
+    return model.blend(scored.withColumns(shares).drop("score"), list(shares))
+
+
+def _auc_fixed_score(x: _Inputs) -> DataFrame:
+    """Area under the curve of the fixed score on the held-out anchors."""
+    rows = run.held_out(x.scored(), CALENDAR)
+    value = model.area_under_curve(HandOver(x.spark).put("held_out", rows))
+    return x.spark.range(1).select(F.round(F.lit(value).cast("double"), 6).alias("auc"))
+
+
+def _unparsed_cells(x: _Inputs) -> DataFrame:
+    """Products written with brands such as 7.0, 7.5 and x7: cells that are filled but no integer."""
+    hand_over = HandOver(x.spark)
+    kind, brand = F.col("sku_id") % 4, F.col("brand").cast("string")
+    cell = F.when(kind == 0, brand).when(kind == 1, F.concat(brand, F.lit(".0"))).when(kind == 2, F.concat(brand, F.lit(".5"))).otherwise(F.concat(F.lit("x"), brand))
+    io.write_result(x.tables.products.select(*SCHEMAS["product"].names).withColumn("brand", cell), hand_over.path("product"), "csv")
+    return io.unparsed_cells(x.spark, hand_over.path("product"), "product")
 
 
 def _selection(scores: DataFrame, *wanted: int) -> DataFrame:
@@ -255,9 +301,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "segment_samples": lambda x: segments.in_segment(x.labelled(), x.classes(), 2),
         "time_split": lambda x: segments.time_split(x.labelled(), CALENDAR),
         "segment_conversion": lambda x: segments.segment_conversion(x.classes(), x.labelled()),
-        "class1_rule": lambda x: segments.repeat_buyers(
-            x.log, segments.user_classes(x.log.where(F.col("action_date") == F.lit(LAST))), LAST
-        ),
+        "class1_rule": lambda x: segments.repeat_buyers(x.log, segments.user_classes(x.log), LAST, at_least=1),
+        "time_split_gaps": lambda x: segments.time_split(samples.label(x.samples(GAPS), x.log, GAPS), GAPS),
+        "breadth_user_90day": lambda x: breadth.trailing_distinct(x.log, LONG, ["user_id"], ["cate", "sku_id"], only_active=True),
+        "active_days_90day": lambda x: trailing.active_days(x.log, LONG, ["user_id"]),
+        "conv1_sku_id": lambda x: conversion.conversion_rates(x.log, CALENDAR, ["sku_id"]),
+        "blend_scores": _blend_scores,
+        "auc_fixed_score": _auc_fixed_score,
+        "unparsed_cells": _unparsed_cells,
+        "feature_matrix": _feature_matrix,
+        "gbt_scores": _gbt_scores,
+        "gbt_score_contract": _gbt_score_contract,
+        "predicted_list": lambda x: _predicted(x)[0],
+        "predicted_list_contract": _predicted_list_contract,
         "top_percentile": lambda x: selection.top_fraction(x.written_scores().drop("user_class"), 92),
         "segment_selection": lambda x: _selection(x.written_scores(), 2),
         "segment3_selection": lambda x: _selection(x.written_scores(), 3),
@@ -298,9 +354,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"rank_{family}"] = partial(_rank, family=family, keys=keys)
     return {
         **{name: _query(build) for name, build in q.items()},
-        "feature_matrix": _feature_matrix,
-        "gbt_scores": _gbt_scores,
-        "predicted_list": _predicted_list,
         **(corpus_queries.QUERIES if corpus_queries else {}),
     }
 

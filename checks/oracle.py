@@ -406,11 +406,51 @@ def oracle(feature_names):
         "cast(coalesce(sum(l.flag), 0) as bigint) as positives, sum(l.flag)::double / nullif(count(l.user_id), 0) as conversion "
         "from classes c left join labelled l on l.user_id = c.user_id group by 1", SAMPLE, CLASSES
     )
-    last_day = CLASSES.replace("from log group by 1", f"from log where action_date = {LAST} group by 1")
+    # Class 1 (nothing but purchases) does not look at the carts, so their span is of no concern here.
     out["class1_rule"] = sql(
         f"select l.user_id, count(*) as purchases from log l join classes c on c.user_id = l.user_id and c.user_class = 1 "
-        f"where l.type = 2 and l.action_date between {LAST} - 6 and {LAST} group by 1 having count(*) >= 2", last_day
+        f"where l.type = 2 and l.action_date between {LAST} - 6 and {LAST} group by 1", CLASSES
     )
+    spread = "(values (date '2024-01-20'), (date '2024-01-25'), (date '2024-01-30')) g(anchor_date)"
+    out["time_split_gaps"] = sql(dated(
+        f"select s.*, cast(exists (select 1 from log b where b.type = 2 and b.user_id = s.user_id and b.cate = s.cate "
+        f"and b.shop_id = s.shop_id and b.action_date > s.anchor_date and b.action_date <= s.anchor_date + 3) as int) as flag, "
+        f"case anchor_date when date '2024-01-20' then 'train' when date '2024-01-25' then 'score_before' else 'score_last' end as part "
+        f"from (select distinct user_id, cate, shop_id, anchor_date from log join {spread} on action_date = anchor_date) s"
+    ))
+    seen = "from anchor join log l on action_date between anchor_date - 89 and anchor_date"
+    wide = ", ".join(
+        f"count(distinct case when {'true' if t is None else f'type = {t}'} and anchor_date - action_date < {n} then {v} end) "
+        f"as user_action{'' if t is None else t}_{PLURAL[v]}_{n}day" for n in (7, 90) for v in ("cate", "sku_id") for t in (None, 1, 2, 3, 4)
+    )
+    out["breadth_user_90day"] = sql(dated(
+        f"select t.* from (select l.user_id, anchor_date, {wide} {seen} group by all) t "
+        f"semi join log l on l.user_id = t.user_id and l.action_date = t.anchor_date"
+    ))
+    days = ", ".join(
+        f"count(distinct case when type = {t} and anchor_date - action_date < {n} then action_date end) "
+        f"as user_action{t}_counts_date_{n}day" for n in (7, 90) for t in (2, 3, 4)
+    )
+    out["active_days_90day"] = sql(dated(f"select l.user_id, anchor_date, {days} {seen} group by all"))
+    out["conv1_sku_id"] = sql(conversion_body(("sku_id",)))
+    out["blend_scores"] = sql(dated(
+        "select *, 1.0::double * a + 1.0::double * b + (1.0::double / 3.0::double) * c as score from (select * exclude (score), "
+        "score / (score + 10) as a, score / (score + 100) as b, score / (score + 1000) as c from scored)"
+    ), SAMPLE, SCORED)
+    out["auc_fixed_score"] = sql(
+        f"select round((sum(r) filter (flag = 1) - count(*) filter (flag = 1) * (count(*) filter (flag = 1) + 1) / 2.0::double) "
+        f"/ (count(*) filter (flag = 1) * count(*) filter (flag = 0)), 6) as auc from (select flag, "
+        f"rank() over (order by score) + (count(*) over (partition by score) - 1) / 2.0::double as r from scored "
+        f"where anchor_date >= {TRAIN_BEFORE} and anchor_date < {LAST} - 1)", SAMPLE, SCORED
+    )
+    out["unparsed_cells"] = sql(
+        "select 'product' as table_name, unnest(['sku_id', 'brand', 'shop_id', 'cate']) as column_name, "
+        "unnest([0, count(*) filter (sku_id % 4 >= 2 and brand is not null), 0, 0]) as cells from product"
+    )
+    out["gbt_score_contract"] = sql(dated(
+        f"select user_id, cate, shop_id, anchor_date, flag, true as in_range, true as is_blend from base where anchor_date = {LAST}"
+    ), SAMPLE, PROFILED)
+    out["predicted_list_contract"] = sql("select user_id, cate, shop_id, 1 as rows, '' as fault from log where false")
     out["top_percentile"] = sql(dated(
         "select * from scored where score > (select quantile_cont(score, 0.92) from scored)"
     ), SAMPLE, SCORED)

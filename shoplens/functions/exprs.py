@@ -53,6 +53,3 @@ def smoothed(hits: Column, base: Column, prior: int, mean: Column) -> Column:
     """Rate pulled towards ``mean`` with the weight of ``prior`` extra observations."""
     return (hits + F.lit(float(prior)) * mean) / (base + F.lit(float(prior)))
 
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [name for name, kind in df.dtypes if kind in {"tinyint", "smallint", "int", "bigint", "float", "double"}]

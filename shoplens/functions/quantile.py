@@ -1,51 +1,119 @@
-"""Exact percentile by narrowing, for columns too long for one in-memory aggregate."""
+"""Exact percentiles of many groups at once, by counting into narrow brackets."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BINS = 1024
+# Ranks beside the answer's that a bracket must hold before its values are fetched.
+FEW = 4096
+
 
-def exact_percentile(df: DataFrame, column: str, fraction: float, accuracy: int = 20_000) -> DataFrame:
-    """One row ``threshold``: the percentile with linear interpolation between order statistics.
+def exact_percentiles(df: DataFrame, column: str, fractions: dict[object, float], group: str | None = None) -> dict[object, float | None]:
+    """Percentile, with linear interpolation between order statistics, of each wanted group.
 
-    Approximate quantiles three times their rank error of ``n / accuracy`` below and above the
-    answer bracket it. Only the distinct values inside the bracket, at most ``8 n / accuracy`` rows
-    apart from ties, are ordered; everything below the bracket is merely counted.
+    ``fractions`` maps a value of the column ``group`` to its fraction (without ``group``, any one key).
+    A pass counts, per group, the rows of ``BINS`` equal steps between the smallest and the largest
+    value; the steps that hold the answer's two order statistics are the next, narrower bracket. When
+    few rows are left, or the bracket cannot get narrower, its distinct values are counted out. Each
+    pass is one aggregate of at most groups x BINS rows; no value is shuffled or ordered outside the
+    last bracket, and the counts prove that the bracket holds the answer.
     """
-    if not 0.0 <= fraction <= 1.0:
-        raise ValueError("fraction must lie in [0, 1]")
-    margin = 3.0 / accuracy
-    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    histogram = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    ends = [max(fraction - margin, 0.0), min(fraction + margin, 1.0)]
-    low_high = F.percentile_approx("v", ends, accuracy)
-    short = F.count("v") <= accuracy  # few values: below one rank per 1/accuracy, take them all
-    bracket = values.agg(
-        F.struct(
-            F.when(short, F.min("v")).otherwise(low_high[0]).alias("low"),
-            F.when(short, F.max("v")).otherwise(low_high[1]).alias("high"),
-        )
-    ).scalar()
-    marked = histogram.withColumn("bracket", bracket)
-    low, high = F.col("bracket.low"), F.col("bracket.high")
-
-    # Rows to skip, and the zero-based position of the answer among all rows.
-    place = marked.agg(
-        F.struct(
-            F.coalesce(F.sum(F.when(F.col("v") < low, F.col("c"))), F.lit(0)).alias("below"),
-            ((F.sum("c") - 1) * F.lit(fraction)).alias("position"),
-        )
-    ).scalar()
-    inside = (
-        marked.where((F.col("v") >= low) & (F.col("v") <= high))
-        .select("v", "c")
-        .withColumn("place", place)
-        .withColumn("upto", F.col("place.below") + F.sum("c").over(Window.orderBy("v")))
+    for fraction in fractions.values():
+        if not 0.0 <= fraction <= 1.0:
+            raise ValueError("fractions must lie in [0, 1]")
+    names = list(fractions)
+    whose = F.col(group) if group else F.lit(names[0])
+    index = reduce(lambda c, i: c.when(whose == F.lit(names[i]), i), range(1, len(names)), F.when(whose == F.lit(names[0]), 0))
+    rows = df.select(index.alias("i"), F.col(column).cast("double").alias("v")).where("i is not null and v is not null and not isnan(v)")
+    ends = {r["i"]: r for r in rows.groupBy("i").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    answers: dict[object, float | None] = {name: None for name in names}
+    # i -> lower end, upper end, rows below the lower end, rows within, position of the answer
+    open_ = {i: (r["low"], r["high"], 0, r["n"], (r["n"] - 1) * fractions[names[i]]) for i, r in ends.items()}
+    while open_:
+        last = {i for i, (low, high, _, n, _) in open_.items() if n <= FEW or _narrowest(low, high)}
+        for i, found in _count_out(rows, {i: open_[i] for i in last}).items():
+            answers[names[i]] = _interpolated(found, *open_.pop(i)[2::2])
+        if open_:
+            open_, found = _narrowed(rows, open_)
+            answers.update({names[i]: answer for i, answer in found.items()})
+    return answers
+
+
+def exact_percentile(df: DataFrame, column: str, fraction: float) -> float | None:
+    """Percentile of one column; None without values."""
+    return exact_percentiles(df, column, {0: fraction})[0]
+
+
+def _narrowest(low: float, high: float) -> bool:
+    """No BINS steps fit between the ends any more."""
+    width = (high - low) / BINS
+    return not low < low + width < high
+
+
+def _steps(low: float, high: float) -> list[float]:
+    return [low + (high - low) / BINS * k for k in range(1, BINS)]
+
+
+def _case(i_to_value: dict[int, object]):
+    pairs = [x for i, v in i_to_value.items() for x in (F.lit(i), F.lit(v))]
+    return F.element_at(F.create_map(*pairs), F.col("i"))
+
+
+def _inside(rows: DataFrame, brackets: dict[int, tuple]) -> DataFrame:
+    ends = rows.where(F.col("i").isin(*brackets)).withColumns(
+        {"low": _case({i: b[0] for i, b in brackets.items()}), "high": _case({i: b[1] for i, b in brackets.items()})}
     )
-    position = F.col("place.position")
-    return inside.agg(
-        F.min(F.when(F.col("upto") > F.floor(position), F.col("v"))).alias("lower"),
-        F.min(F.when(F.col("upto") > F.ceil(position), F.col("v"))).alias("upper"),
-        F.max(position - F.floor(position)).alias("weight"),
-    ).select((F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("weight")).alias("threshold"))
+    return ends.where("v between low and high")
+
+
+def _narrowed(rows: DataFrame, brackets: dict[int, tuple]) -> tuple[dict[int, tuple], dict[int, float]]:
+    """Narrower brackets, and the answers of groups whose two order statistics lie in two steps: they
+    are the largest value of the one and the smallest of the other."""
+    # The step of a value is found by the same division for all rows, so steps never overlap; each
+    # step's own smallest and largest value are the next bracket's ends, whatever was rounded.
+    width = _case({i: (b[1] - b[0]) / BINS for i, b in brackets.items()})
+    step = F.floor((F.col("v") - F.col("low")) / width).alias("step")
+    counted = _inside(rows, brackets).groupBy("i", step).agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+    by_group: dict[int, list] = {i: [] for i in brackets}
+    for r in counted.collect():
+        by_group[r["i"]].append(r)
+    narrower, answers = {}, {}
+    for i, (_, _, below, _, position) in brackets.items():
+        before, kept = below, []
+        for r in sorted(by_group[i], key=lambda r: r["step"]):
+            # Ranks [before, before + n) lie in this step; the answer needs ranks floor and ceil.
+            if before <= -(-position // 1) and before + r["n"] > position // 1:
+                kept.append((before, r))
+            before += r["n"]
+        (first, step), (_, other) = kept[0], kept[-1]
+        if step is other:
+            narrower[i] = (step["a"], step["b"], first, step["n"], position)
+        else:
+            answers[i] = step["b"] + (other["a"] - step["b"]) * (position - position // 1)
+    return narrower, answers
+
+
+def _count_out(rows: DataFrame, brackets: dict[int, tuple]) -> dict[int, list[tuple[float, int]]]:
+    if not brackets:
+        return {}
+    found: dict[int, list[tuple[float, int]]] = {i: [] for i in brackets}
+    for r in _inside(rows, brackets).groupBy("i", "v").agg(F.count("*").alias("n")).collect():
+        found[r["i"]].append((r["v"], r["n"]))
+    return {i: sorted(values) for i, values in found.items()}
+
+
+def _interpolated(values: list[tuple[float, int]], below: int, position: float) -> float:
+    lower = upper = None
+    upto = below
+    for value, n in values:
+        upto += n
+        if lower is None and upto > position // 1:
+            lower = value
+        if upto > -(-position // 1):
+            upper = value
+            break
+    return lower + (upper - lower) * (position - position // 1)

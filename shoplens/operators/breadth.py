@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.exprs import VALUE_NAMES, known_keys, short_name
-from shoplens.operators.trailing import day_bit, days_up_to_anchor, in_reach, window_bits
+from shoplens.operators.trailing import LONGEST_SET, active_anchors, at_anchors, day_bit, days_up_to_anchor, in_reach, window_bits
 from shoplens.settings import Calendar
 
 # Key sets and what is counted for them, in result order.
@@ -39,8 +39,10 @@ def trailing_distinct(
 
     With ``only_active`` only anchors on which the keys were active get a row (see
     :func:`shoplens.operators.trailing.trailing_counts`). Anchors too far apart for one bit set are
-    split and the parts put together.
+    split and the parts put together. Windows longer than a bit set count by the latest day instead.
     """
+    if calendar.reach > LONGEST_SET:
+        return _distinct_by_age(log, calendar, keys, values, only_active, types)
     spans = calendar.spans()
     if len(spans) > 1:
         return reduce(
@@ -62,18 +64,18 @@ def trailing_distinct(
         )
     )
     masks = {None: "m", **{t: f"m{t}" for t in types}}
+    if only_active:
+        # Pairs meet the anchors on which their key was active, and no others are made.
+        placed = pairs.join(active_anchors(log, calendar, keys), keys)
+    else:
+        placed = pairs.withColumn("anchor_date", F.explode(F.array(*[F.lit(a) for a in calendar.anchors])))
     spread = (
-        pairs.withColumn("anchor_date", F.explode(F.array(*[F.lit(a) for a in calendar.anchors])))
-        .select(
+        placed.select(
             *keys, "anchor_date", "what", F.col("value").isNotNull().alias("known"),
             *[days_up_to_anchor(m, calendar).alias(m) for m in masks.values()],
         )
         .where(F.col("m").bitwiseAND(window_bits(calendar.reach)) != 0)
     )
-    if only_active:
-        days = known_keys(log.where(F.col("action_date").isin(*calendar.anchors)), keys)
-        wanted = days.select(*keys, F.col("action_date").alias("anchor_date")).distinct()
-        spread = spread.join(wanted, [*keys, "anchor_date"], "left_semi")
     # SQL text: dozens of generated columns are built far faster from text than from Column calls.
     counts = [
         F.expr(
@@ -84,3 +86,30 @@ def trailing_distinct(
         for t in masks
     ]
     return spread.groupBy(*keys, "anchor_date").agg(*counts)
+
+
+def _distinct_by_age(
+    log: DataFrame, calendar: Calendar, keys: list[str], values: list[str], only_active: bool, types: tuple[int, ...]
+) -> DataFrame:
+    """The same for windows of any length: a pair counts in a window if its latest day up to the
+    anchor lies in it. Days are repeated for the anchors that see them, so this costs more rows."""
+    rows = known_keys(in_reach(log, calendar), keys)
+    kind = dict(rows.dtypes)
+    common = "string" if any(kind[v] == "string" for v in values) else "bigint"
+    items = F.array(*[F.struct(F.lit(v).alias("what"), F.col(v).cast(common).alias("value")) for v in values])
+    daily = rows.select(*keys, "type", "action_date", F.inline(items)).distinct()
+    spread = at_anchors(daily, calendar)
+    if only_active:
+        spread = spread.join(active_anchors(log, calendar, keys), [*keys, "anchor_date"], "left_semi")
+    age = F.datediff("anchor_date", "action_date")
+    latest = spread.groupBy(*keys, "anchor_date", "what", "value").agg(
+        F.min(age).alias("a"), *[F.min(F.when(F.col("type") == t, age)).alias(f"a{t}") for t in types]
+    )
+    ages = {None: "a", **{t: f"a{t}" for t in types}}
+    counts = [
+        F.expr(f"count_if(what = '{v}' and value is not null and {ages[t]} < {n})").alias(breadth_name(keys, t, v, n))
+        for n in calendar.windows
+        for v in values
+        for t in ages
+    ]
+    return latest.groupBy(*keys, "anchor_date").agg(*counts)

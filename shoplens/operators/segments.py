@@ -46,12 +46,12 @@ def scoring_part(sample: DataFrame, day: date) -> DataFrame:
 
 
 def time_split(sample: DataFrame, calendar: Calendar) -> DataFrame:
-    """Role of each sample: training, last day, day before, or held out."""
+    """Role of each sample: training, last anchor, anchor before, or held out."""
     day = F.col("anchor_date")
     role = (
         F.when(day < F.lit(calendar.train_before), "train")
         .when(day == F.lit(calendar.last), "score_last")
-        .when(day == F.date_sub(F.lit(calendar.last), 1), "score_before")
+        .when(day == F.lit(calendar.before_last), "score_before")
         .otherwise("hold_out")
     )
     return sample.withColumn("part", role)

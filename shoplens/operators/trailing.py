@@ -24,6 +24,8 @@ EXTRA_KEYS = [
     ["cate", "shop_id"], ["user_id", "cate", "shop_id"],
 ]
 ACTIVE_DAY_TYPES = (2, 3, 4)
+# Days of a window that a 64-bit set can hold beside its anchor.
+LONGEST_SET = 62
 
 
 def in_reach(log: DataFrame, calendar: Calendar) -> DataFrame:
@@ -32,6 +34,12 @@ def in_reach(log: DataFrame, calendar: Calendar) -> DataFrame:
     return log.where(F.col("action_date").between(F.lit(start), F.lit(calendar.last)))
 
 
+def active_anchors(log: DataFrame, calendar: Calendar, keys: list[str]) -> DataFrame:
+    """(keys, anchor_date) for the anchors on which the keys were active."""
+    days = known_keys(log.where(F.col("action_date").isin(*calendar.anchors)), keys)
+    return days.select(*keys, F.col("action_date").alias("anchor_date")).distinct()
+
+
 def at_anchors(days: DataFrame, calendar: Calendar) -> DataFrame:
     """Repeat every dated row for each anchor whose longest window holds its day."""
     day = F.col("action_date")
@@ -114,8 +122,11 @@ def active_days(
     """Distinct days with an action of each type in every window.
 
     The days of a key form a bit set, so one mergeable aggregate per type answers all anchors and
-    windows, with one shuffle and no distinct. Anchors too far apart for one set are split.
+    windows, with one shuffle and no distinct. Anchors too far apart for one set are split; windows
+    longer than a set count their days one by one.
     """
+    if calendar.reach > LONGEST_SET:
+        return _active_days_by_day(log, calendar, keys, only_active, types)
     spans = calendar.spans()
     if len(spans) > 1:
         return reduce(DataFrame.unionByName, [active_days(log, s, keys, only_active, types) for s in spans])
@@ -136,3 +147,18 @@ def active_days(
     return spread.where(days_up_to_anchor("any", calendar).bitwiseAND(seen) != 0).select(
         *keys, "anchor_date", *counts
     )
+
+
+def _active_days_by_day(
+    log: DataFrame, calendar: Calendar, keys: list[str], only_active: bool, types: tuple[int, ...]
+) -> DataFrame:
+    days = known_keys(in_reach(log, calendar), keys).groupBy(*keys, "action_date").agg(
+        *[F.max((F.col("type") == t).cast("bigint")).alias(f"d{t}") for t in types]
+    )
+    spread = at_anchors(days, calendar).withColumn("elapsed", F.datediff("anchor_date", "action_date"))
+    if only_active:
+        spread = spread.join(active_anchors(log, calendar, keys), [*keys, "anchor_date"], "left_semi")
+    counts = [
+        F.expr(f"sum(if(elapsed < {n}, d{t}, 0))").alias(day_count_name(keys, t, n)) for n in calendar.windows for t in types
+    ]
+    return spread.groupBy(*keys, "anchor_date").agg(*counts)

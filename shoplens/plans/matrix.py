@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shoplens.functions.exprs import known_keys
 from shoplens.operators import (
@@ -43,6 +44,17 @@ def written_log(tables: Tables, hand_over: HandOver) -> DataFrame:
     return hand_over.put("log", log, partition_by=("action_date",))
 
 
+# Columns of the two roll-ups. Key sets without sku, brand or module need no more of the log.
+ENTITIES = ["user_id", "cate", "shop_id"]
+GROUPS = [*DEMOGRAPHICS, "cate", "shop_id"]
+
+
+def roll_up(log: DataFrame, columns: list[str]) -> DataFrame:
+    """Log summed over all but ``columns``, type and day. Sums of sums are exact, so every count may
+    read a roll-up in place of the log."""
+    return log.groupBy(*columns, "type", "action_date").agg(F.sum("n").alias("n")).hint("rebalance", "action_date")
+
+
 def base_samples(log: DataFrame, tables: Tables, calendar: Calendar) -> DataFrame:
     """Labelled samples with their profile, without those that some inner join would drop.
 
@@ -59,20 +71,21 @@ def _same(a: list[str], b: list[str]) -> bool:
 
 
 def dated_features(
-    log: DataFrame, sample: DataFrame, calendar: Calendar, keys: list[str], hand_over: HandOver
+    log: DataFrame, rolled: DataFrame, sample: DataFrame, calendar: Calendar, keys: list[str], hand_over: HandOver
 ) -> DataFrame | None:
-    """All families keyed by (keys, anchor), or None if the key set has none."""
+    """All families keyed by (keys, anchor), or None if the key set has none. Distinct counts of
+    skus, brands and modules read the log itself."""
     if not any(_same(keys, k) for k in trailing.MATRIX_KEYS):
         return None
     # Keys with a user are many and rarely active: only their active anchors are computed.
     only_active = "user_id" in keys
-    counts = trailing.trailing_counts(log, calendar, keys, only_active)
+    counts = trailing.trailing_counts(rolled, calendar, keys, only_active)
     families = [family for family, k, _ in ranks.RANKS if _same(keys, k)]
     if families:  # several consumers: written once, not computed again for each
         counts = hand_over.put("counts_by_" + "_".join(keys), counts)
     parts = [counts]
     if keys == ["user_id"]:
-        parts.append(trailing.active_days(log, calendar, keys, only_active))
+        parts.append(trailing.active_days(rolled, calendar, keys, only_active))
     parts += [
         breadth.trailing_distinct(log, calendar, keys, values, only_active)
         for k, values in breadth.BREADTH
@@ -84,17 +97,17 @@ def dated_features(
 
 
 def undated_features(
-    log: DataFrame, rated: DataFrame, overall: DataFrame, calendar: Calendar, keys: list[str]
+    rolled: DataFrame, rated: DataFrame, overall: DataFrame, calendar: Calendar, keys: list[str]
 ) -> DataFrame | None:
     """All families keyed by the keys alone, or None."""
     parts = [
         catalogue.catalogue(rated, list(k)) for k in catalogue.OWNED if _same(keys, list(k))
     ]
     parts += [
-        history.history_counts(log, calendar, k) for k in history.HISTORY_KEYS if _same(keys, k)
+        history.history_counts(rolled, calendar, k) for k in history.HISTORY_KEYS if _same(keys, k)
     ]
     parts += [
-        conversion.conversion_rates(log, calendar, k, overall=overall)
+        conversion.conversion_rates(rolled, calendar, k, overall=overall)
         for k in conversion.ONE_KEY + conversion.TWO_KEYS
         if _same(keys, k)
     ]
@@ -103,12 +116,12 @@ def undated_features(
 
 
 def key_set_features(
-    log: DataFrame, sample: DataFrame, rated: DataFrame, overall: DataFrame, calendar: Calendar,
+    log: DataFrame, rolled: DataFrame, sample: DataFrame, rated: DataFrame, overall: DataFrame, calendar: Calendar,
     keys: list[str], hand_over: HandOver,
 ) -> DataFrame:
     """Every feature of one key set in one table."""
-    dated = dated_features(log, sample, calendar, keys, hand_over)
-    undated = undated_features(log, rated, overall, calendar, keys)
+    dated = dated_features(log, rolled, sample, calendar, keys, hand_over)
+    undated = undated_features(rolled, rated, overall, calendar, keys)
     if dated is None or undated is None:
         return dated if undated is None else undated
     return dated.join(undated, keys, "left")
@@ -134,18 +147,22 @@ def feature_matrix(
     """Samples with label and all features, missing values as 0."""
     if log is None:
         log = written_log(tables, hand_over)
+    by_day = ("action_date",)
+    entities = hand_over.put("log_of_entities", roll_up(log, ENTITIES), by_day)
+    groups = hand_over.put("log_of_groups", roll_up(log, GROUPS), by_day)
     first = hand_over.put_many(
         {
-            "sample": partial(base_samples, log, tables, calendar),
+            "sample": partial(base_samples, entities, tables, calendar),
             "rated_products": partial(enrich.rated_products, tables),
-            "overall_rates": partial(conversion.overall_rates, log, calendar),
+            "overall_rates": partial(conversion.overall_rates, groups, calendar),
         }
     )
     sample, rated, overall = first["sample"], first["rated_products"], first["overall_rates"]
     tables_by_keys = hand_over.put_many(
         {
             "by_" + "_".join(keys): partial(
-                key_set_features, log, sample, rated, overall, calendar, keys, hand_over
+                key_set_features, log, entities if set(keys) <= set(ENTITIES) else groups,
+                sample, rated, overall, calendar, keys, hand_over,
             )
             for keys in KEY_SETS
         }

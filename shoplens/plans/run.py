@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,42 +14,48 @@ from shoplens.sources.tables import write_result
 
 
 def scored_days(
-    sample: DataFrame, calendar: Calendar, rounds: tuple[int, ...] = model.ROUNDS, **settings
+    sample: DataFrame, calendar: Calendar, rounds: tuple[int, ...] = model.ROUNDS,
+    weights: tuple[float, ...] = model.BLEND_WEIGHTS, **settings,
 ) -> DataFrame:
     """Train on the early anchors of ``sample`` and score its last two."""
+    model.check_weights(len(rounds), weights)
     features = feature_names(calendar.windows)
     boosters = model.train_boosters(segments.training_part(sample, calendar), features, rounds=rounds, **settings)
-    late = sample.where(F.col("anchor_date") >= F.lit(calendar.last - timedelta(days=1)))
-    weights = model.BLEND_WEIGHTS if len(rounds) == len(model.BLEND_WEIGHTS) else (1.0 / len(rounds),) * len(rounds)
+    late = sample.where(F.col("anchor_date") >= F.lit(calendar.before_last))
     scored = model.blended_score(boosters, late, weights)
     return scored.select(*SAMPLE_KEYS, "anchor_date", "flag", "score")
 
 
-def hold_out_auc(boosters: model.Boosters, sample: DataFrame, calendar: Calendar) -> float:
-    """AUC on the anchors that are neither trained on nor scored."""
-    last_two = calendar.last - timedelta(days=1)
-    held_out = sample.where(
-        (F.col("anchor_date") >= F.lit(calendar.train_before)) & (F.col("anchor_date") < F.lit(last_two))
-    )
-    weights = (1.0,) * len(boosters.models)
-    return model.area_under_curve(model.blended_score(boosters, held_out, weights))
+def held_out(sample: DataFrame, calendar: Calendar) -> DataFrame:
+    """Samples of the anchors that are neither trained on nor scored."""
+    day = F.col("anchor_date")
+    return sample.where((day >= F.lit(calendar.train_before)) & (day < F.lit(calendar.before_last)))
+
+
+def hold_out_auc(
+    boosters: model.Boosters, sample: DataFrame, calendar: Calendar, weights: tuple[float, ...] = model.BLEND_WEIGHTS
+) -> float:
+    """AUC of the blended score on the held-out anchors."""
+    held_out_rows = held_out(sample, calendar)
+    return model.area_under_curve(model.blended_score(boosters, held_out_rows, weights))
 
 
 def predict_lists(
     matrix: DataFrame, classes: DataFrame, calendar: Calendar, hand_over: HandOver,
-    rounds: tuple[int, ...] = model.ROUNDS, **settings,
+    rounds: tuple[int, ...] = model.ROUNDS, weights: tuple[float, ...] = model.BLEND_WEIGHTS, **settings,
 ) -> dict[str, DataFrame]:
     """Lists of both segment models and of the pooled model, and their consensus as ``result``.
 
     Scores are written before selection: each percentile reads them several times.
     """
-    days = (calendar.last, calendar.last - timedelta(days=1))
-    with_class = matrix.join(classes.select("user_id", "user_class"), "user_id")
+    days = (calendar.last, calendar.before_last)
+    # Written once: training and scoring of three groups read it.
+    with_class = hand_over.put("with_class", matrix.join(classes.select("user_id", "user_class"), "user_id"))
     groups = {"segment2": [2], "segment3": [3], "pooled": [2, 3]}
     lists = {}
     for name, wanted in groups.items():
         sample = with_class.where(F.col("user_class").isin(*wanted)).drop("user_class")
-        scored = hand_over.put(f"scores_{name}", scored_days(sample, calendar, rounds, **settings))
+        scored = hand_over.put(f"scores_{name}", scored_days(sample, calendar, rounds, weights, **settings))
         percents = selection.POOLED_PERCENTS if name == "pooled" else selection.SEGMENT_PERCENTS
         lists[name] = hand_over.put(name, selection.select_days(scored, days, percents))
     lists["result"] = selection.consensus(lists["pooled"], lists["segment2"], lists["segment3"])

@@ -22,7 +22,8 @@ RUNTIME_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings this package relies on to an existing session."""
+    """Apply the runtime settings this package relies on to an existing session, for good: AQE, and
+    UTC as time zone, in which timestamps without a zone are read."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     if not spark.sparkContext.master.startswith("local"):
@@ -68,13 +69,25 @@ class HandOver:
     """Parquet hand-over between steps of a long job.
 
     A written table cuts the lineage, survives lost executors, and carries its exact size, so that
-    later joins broadcast it only if it really is small.
+    later joins broadcast it only if it really is small. As a context manager it removes its tables
+    at the end; without, they stay until :meth:`close`, as results read from them are lazy.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
         self.spark = spark
         self.folder = os.path.join(folder or shared_folder(spark), f"tables-{uuid.uuid4().hex}")
 
+    def __enter__(self) -> HandOver:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Remove all tables, through the file system that holds them."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
@@ -84,7 +97,23 @@ class HandOver:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def put_many(self, builders: dict[str, Callable[[], DataFrame]], at_once: int = 6) -> dict[str, DataFrame]:
-        """Write independent tables, a few jobs at a time, so that the tail of one job overlaps the next."""
+        """Write independent tables, a few jobs at a time, so that the tail of one job overlaps the
+        next. If one fails, the others are cancelled."""
+        context, tag = self.spark.sparkContext, f"hand-over-{uuid.uuid4().hex}"
+
+        def write(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+            context.addJobTag(tag)
+            try:
+                return self.put(name, build())
+            finally:
+                context.removeJobTag(tag)
+
         with ThreadPoolExecutor(max_workers=at_once) as pool:
-            written = {name: pool.submit(lambda n, b: self.put(n, b()), name, build) for name, build in builders.items()}
-            return {name: job.result() for name, job in written.items()}
+            written = {name: pool.submit(write, name, build) for name, build in builders.items()}
+            try:
+                return {name: job.result() for name, job in written.items()}
+            except BaseException:
+                for job in written.values():
+                    job.cancel()
+                context.cancelJobsWithTag(tag)
+                raise

@@ -65,6 +65,13 @@ class Calendar:
     def last(self) -> date:
         return self.anchors[-1]
 
+    @property
+    def before_last(self) -> date:
+        """The anchor before the last, which need not be the day before it."""
+        if len(self.anchors) < 2:
+            raise ValueError("scoring two days needs at least two anchors")
+        return self.anchors[-2]
+
     @property
     def reach(self) -> int:
         """Length in days of the longest window."""

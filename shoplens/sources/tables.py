@@ -54,14 +54,28 @@ def read_csv(
     """Scan one CSV table with header.
 
     ``columns`` gives the header order of the file when it differs from the declared order. Cells
-    that do not parse become NULL.
+    that do not parse become NULL; :func:`unparsed_cells` counts them.
     """
+    raw = _raw(spark, path, table, columns)
+    return raw.select(*[_parse(f) for f in SCHEMAS[table].fields if f.name in raw.columns])
+
+
+def _raw(spark: SparkSession, path: str, table: str, columns: list[str] | None) -> DataFrame:
     schema = SCHEMAS[table]
     if columns:
         known = {f.name: f for f in schema.fields}
         schema = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in columns])
-    raw = spark.read.csv(path, header=True, schema=_as_text(schema), enforceSchema=False)
-    return raw.select(*[_parse(f) for f in SCHEMAS[table].fields if f.name in schema.names])
+    return spark.read.csv(path, header=True, schema=_as_text(schema), enforceSchema=False)
+
+
+def unparsed_cells(spark: SparkSession, path: str, table: str, columns: list[str] | None = None) -> DataFrame:
+    """(table_name, column_name, cells): per column how many cells are filled but did not parse."""
+    raw = _raw(spark, path, table, columns)
+    fields = [f for f in SCHEMAS[table].fields if f.name in raw.columns]
+    lost = [F.count_if(F.col(f.name).isNotNull() & _parse(f).isNull()).alias(f.name) for f in fields]
+    counted = raw.agg(*lost)
+    cells = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("cells")) for f in fields])
+    return counted.select(F.lit(table).alias("table_name"), F.inline(cells))
 
 
 def _as_text(schema: T.StructType) -> T.StructType:
@@ -69,10 +83,12 @@ def _as_text(schema: T.StructType) -> T.StructType:
 
 
 def _parse(field: T.StructField):
-    col = F.col(field.name)
+    col = F.trim(F.col(field.name))
     if isinstance(field.dataType, (T.LongType, T.IntegerType)):
-        # Integer columns with missing cells are often exported as "3.0".
-        return col.try_cast("double").try_cast(field.dataType).alias(field.name)
+        # Integer columns with missing cells are often exported as "3.0". A fraction other than zero
+        # is no integer, and no cell takes the way through a double, which would merge long ids.
+        whole = F.regexp_extract(col, r"^([+-]?\d+)(?:\.0*)?$", 1)
+        return F.when(whole != "", whole).try_cast(field.dataType).alias(field.name)
     return col.try_cast(field.dataType).alias(field.name)
 
 

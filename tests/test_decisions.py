@@ -1,7 +1,9 @@
 """Ranks, percentiles, segments, selections, evaluation, sequences and the model."""
 
+import os
 import random
 from collections import Counter
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -9,12 +11,13 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shoplens.functions.quantile import exact_percentile
+from shoplens.functions import quantile
 from shoplens.operators import (
     enrich, evaluate, explore, intervals, model, ranks, segments, selection, sequences, shares,
 )
 from shoplens.plans import run
-from shoplens.sources.tables import SCHEMAS, Tables, read_csv, read_result
+from shoplens.session import HandOver
+from shoplens.sources.tables import SCHEMAS, Tables, read_csv, read_result, unparsed_cells
 from tests.conftest import LAST
 
 
@@ -46,21 +49,42 @@ def test_ranks_equal_pandas_over_weighted_samples_with_a_hot_group(spark):
         assert got[(g, u)] == r
 
 
-@pytest.mark.parametrize("fraction", [0.0, 0.5, 0.92, 0.98, 0.999, 1.0])
-@pytest.mark.parametrize("shape", ["distinct", "ties", "few"])
-def test_percentile_is_exact_on_both_paths(spark, fraction, shape):
+@pytest.mark.parametrize("shape", ["distinct", "ties", "few", "two atoms", "one atom", "wide"])
+def test_percentiles_are_exact(spark, shape, monkeypatch):
     rng = np.random.default_rng(5)
     values = {
         "distinct": rng.normal(size=3000),
         "ties": np.where(rng.random(3000) < 0.4, 1.0, rng.integers(0, 50, 3000)).astype(float),
         "few": rng.normal(size=7),
+        "two atoms": np.repeat([0.0, 1.0], 1500),
+        "one atom": np.full(3000, 0.25),
+        "wide": rng.normal(size=3000) * 10.0 ** rng.integers(-200, 200, 3000),
     }[shape]
-    df = spark.createDataFrame([(float(v),) for v in values], "s double")
-    expected = np.percentile(values, fraction * 100)
-    # 200 is below 3,000 rows, so the approximate bracket is used; 20,000 takes all values.
-    for accuracy in (200, 20_000):
-        got = exact_percentile(df, "s", fraction, accuracy).collect()[0]["threshold"]
-        assert got == pytest.approx(expected, abs=1e-12)
+    df = spark.createDataFrame([(float(v), g) for v in values for g in (1, 2)], "s double, g int").repartition(7)
+    for few in (4096, 5):  # with 5 every answer takes several passes
+        monkeypatch.setattr(quantile, "FEW", few)
+        for pair in ((0.0, 0.5), (0.92, 0.98), (0.999, 1.0)):
+            got = quantile.exact_percentiles(df, "s", dict(zip((1, 2), pair, strict=True)), "g")
+            for g, fraction in zip((1, 2), pair, strict=True):
+                assert got[g] == pytest.approx(np.percentile(values, fraction * 100), rel=1e-12, abs=1e-12)
+    assert quantile.exact_percentiles(df, "s", {9: 0.5}, "g") == {9: None}
+
+
+def test_no_score_is_shuffled_outside_its_bracket(spark, monkeypatch):
+    scored = spark.range(50_000).select((F.col("id") % 49_999).cast("double").alias("score"), F.lit(1).alias("user_id"))
+    grouped, inside = [], quantile._inside
+
+    def counted(rows, brackets):
+        grouped.append(inside(rows, brackets).count())
+        return inside(rows, brackets)
+
+    monkeypatch.setattr(quantile, "_inside", counted)
+    chosen = selection.top_fraction(scored, 98)
+    assert chosen.count() == 1000
+    # One pass counts all rows into steps, the last one fetches the values of a short bracket.
+    assert grouped[0] == 50_000 and grouped[-1] <= quantile.FEW and len(grouped) == 2
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
 
 
 def test_equal_scores_select_nothing(spark):
@@ -116,17 +140,17 @@ def test_evaluation(spark):
     assert empty["score"] == 0
 
 
-@pytest.mark.parametrize("slot", ["minute", "day"])
-def test_sequences_keep_every_step_in_order(spark, slot):
+@pytest.mark.parametrize("span", [200_000, 1])
+def test_sequences_keep_every_step_in_order(spark, span):
     rng = random.Random(1)
     start = datetime(2024, 1, 1)
     rows = [
-        (0 if rng.random() < 0.5 else rng.randrange(4), start + timedelta(seconds=rng.randrange(200_000)),
+        (0 if rng.random() < 0.5 else rng.randrange(4), start + timedelta(seconds=rng.randrange(span)),
          rng.randrange(9), rng.randrange(1, 6))
         for _ in range(500)
     ]
     actions = spark.createDataFrame(rows, "user_id bigint, action_time timestamp, sku_id bigint, type int")
-    pieces = sequences.user_sequences(actions, length=7, slot=slot).orderBy("user_id", "piece").collect()
+    pieces = sequences.user_sequences(actions.repartition(5), length=7).orderBy("user_id", "piece").collect()
     assert max(p["n_steps"] for p in pieces) == 7
     joined = {}
     for p in pieces:
@@ -216,3 +240,55 @@ def test_boosters_learn_and_blend(spark, calendar):
     assert run.hold_out_auc(boosters, held_out, calendar) > 0.9
     with pytest.raises(ValueError):
         model.blended_score(model.Boosters(boosters.features, boosters.models[:2]), sample)
+
+
+def test_shorter_models_are_prefixes_of_the_longest(spark):
+    rng = random.Random(5)
+    rows = [(rng.random(), rng.random(), i % 7) for i in range(800)]
+    rows = [(a, b, c, int(a + 0.5 * b + rng.random() / 2 > 1)) for a, b, c in rows]
+    sample = spark.createDataFrame(rows, "a double, b double, c int, flag int").repartition(5)
+    settings = {"maxDepth": 3, "checkpointInterval": 2}
+    both = model.train_boosters(sample, ["a", "b", "c"], rounds=(3, 6), **settings)
+    alone = model.train_boosters(sample, ["a", "b", "c"], rounds=(3,), **settings)
+    assert [m.getNumTrees for m in both.models] == [3, 6]
+    got = model.probabilities(both, sample).select("a", "probability_0").orderBy("a").collect()
+    expected = model.probabilities(alone, sample).select("a", "probability_0").orderBy("a").collect()
+    assert got == expected
+
+
+def test_wrong_number_of_weights_raises(spark, calendar):
+    with pytest.raises(ValueError, match="weights"):
+        run.scored_days(spark.range(1), calendar, rounds=(2, 3), weights=(1.0,))
+    with pytest.raises(ValueError, match="weights"):
+        model.blend(spark.range(1), ["a", "b"], (1.0, 1.0, 1.0))
+
+
+def test_integers_are_exact_and_lost_cells_are_counted(spark, tmp_path):
+    cells = ["9007199254740993", "9007199254740992", "3.0", "3.7", "", "x", "-5.", "99999999999999999999", " 8 "]
+    (tmp_path / "p.csv").write_text("sku_id,brand,shop_id,cate\n" + "".join(f"{c},1,1,1\n" for c in cells))
+    found = [r["sku_id"] for r in read_csv(spark, str(tmp_path / "p.csv"), "product").collect()]
+    assert found == [9007199254740993, 9007199254740992, 3, None, None, None, -5, None, 8]
+    lost = {r["column_name"]: r["cells"] for r in unparsed_cells(spark, str(tmp_path / "p.csv"), "product").collect()}
+    assert lost == {"sku_id": 3, "brand": 0, "shop_id": 0, "cate": 0}
+
+
+def test_calendar_with_gaps(spark, calendar):
+    days = [LAST - timedelta(days=d) for d in (10, 5, 0)]
+    gaps = replace(calendar, anchors=tuple(days), train_before=days[1])
+    sample = spark.createDataFrame([(1, 1, 1, d, float(u)) for d in days for u in range(100)], "user_id int, cate int, shop_id int, anchor_date date, score double")
+    parts = {r["anchor_date"]: r["part"] for r in segments.time_split(sample, gaps).collect()}
+    assert parts == dict(zip(days, ("train", "score_before", "score_last"), strict=True))
+    assert run.held_out(sample, gaps).count() == 0
+    assert selection.select_days(sample.drop("user_id").withColumn("user_id", F.col("score")), (gaps.last, gaps.before_last), (92, 98)).count() == 8
+    with pytest.raises(ValueError, match="two anchors"):
+        replace(calendar, anchors=(LAST,)).before_last  # noqa: B018
+
+
+def test_hand_over_removes_its_tables_and_passes_errors_on(spark):
+    with HandOver(spark) as store:
+        assert store.put("a", spark.range(3)).count() == 3
+        folder = store.folder.removeprefix("file:")
+        assert os.path.isdir(folder)
+        with pytest.raises(Exception, match="no_such_column"):
+            store.put_many({"bad": lambda: spark.range(1).selectExpr("no_such_column"), "good": lambda: spark.range(5)})
+    assert not os.path.exists(folder)

@@ -1,6 +1,7 @@
 """Hand-made frames for null rules, window edges and names; brute force for random logs."""
 
 import random
+import re
 from collections import defaultdict
 from datetime import date, timedelta
 
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from shoplens.operators import breadth, catalogue, conversion, enrich, history, profile, samples, trailing
 from shoplens.plans.features import feature_names
-from shoplens.plans.matrix import KEY_SETS, _same
+from shoplens.plans.matrix import KEY_SETS, _same, feature_matrix, written_log
+from shoplens.session import HandOver
 from shoplens.settings import Calendar
+from shoplens.sources import standin
 from tests.conftest import LAST
 
 
@@ -261,3 +264,44 @@ def test_full_join_chain_equals_conditional_aggregate(make_log):
     late = Calendar.ending(LAST, history_before=LAST + timedelta(days=9))
     plain = history.history_counts(log, late, ["user_id"])
     assert rows_by(joined, *joined.columns).keys() == rows_by(plain, *joined.columns).keys()
+
+
+@pytest.mark.parametrize("only_active", [False, True])
+def test_long_windows_against_brute_force(make_log, only_active):
+    rng = random.Random(8)
+    rows = [(rng.randrange(4), rng.randrange(3), 1, rng.randrange(5), rng.randrange(1, 6), rng.randrange(120)) for _ in range(300)]
+    long = Calendar.ending(LAST, n_anchors=3, windows=(7, 100))
+    log = make_log(rows)
+    got = breadth.trailing_distinct(log, long, ["user_id"], ["sku_id"], only_active).collect()
+    days = {(r["user_id"], r["anchor_date"]): r for r in trailing.active_days(log, long, ["user_id"], only_active).collect()}
+    by_anchor = {(r["user_id"], r["anchor_date"]): r for r in got}
+    wanted = set()
+    for anchor in long.anchors:
+        back = (LAST - anchor).days
+        for user in range(4):
+            own = [(k, t, ago - back) for u, _, _, k, t, ago in rows if u == user and ago >= back]
+            if not any(a < (1 if only_active else 100) for _, _, a in own):
+                continue
+            wanted.add((user, anchor))
+            for n in long.windows:
+                r = by_anchor[(user, anchor)]
+                assert r[f"user_action_skus_{n}day"] == len({k for k, _, a in own if a < n})
+                assert r[f"user_action2_skus_{n}day"] == len({k for k, t, a in own if a < n and t == 2})
+                assert days[(user, anchor)][f"user_action2_counts_date_{n}day"] == len({a for _, t, a in own if a < n and t == 2})
+    assert set(by_anchor) == wanted == set(days)
+
+
+def test_matrix_scans_the_log_a_few_times(spark, calendar):
+    scans = []
+
+    class Counting(HandOver):
+        def put(self, name, df, partition_by=()):
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+            plan = df._jdf.queryExecution().explainString(mode)
+            scans.append(len(re.findall(r"Location: InMemoryFileIndex \[[^\]]*/log\]", plan)))
+            return super().put(name, df, partition_by)
+
+    tables = standin.load(spark, "/root/testdata/sf0.001")
+    with Counting(spark) as store:
+        feature_matrix(tables, calendar, store, written_log(tables, store))
+    assert 2 < sum(scans) <= 10
