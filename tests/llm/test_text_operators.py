@@ -169,15 +169,17 @@ def test_links_connect_chains_and_dense_groups(spark, radius):
         for b in rng.choice(63, radius, replace=False):
             chain ^= 1 << int(b)
     values = sorted(values)
-    nodes = spark.createDataFrame([(v,) for v in values], "fingerprint bigint")
-    found = {r["node"]: r["root"] for r in simhash.components(simhash.links(nodes, radius, len(values))).collect()}
+    nodes = spark.createDataFrame([(k, v) for v in values for k in (0, 5)], "print int, fingerprint bigint")
+    near = simhash.links(nodes, radius, 2 * len(values))
     expected = brute_classes(values, values, radius)
-    assert [found.get(v, v) for v in values] == expected
+    for k in (0, 5):
+        found = {r["node"]: r["root"] for r in simhash.components(near.where(F.col("print") == k)).collect()}
+        assert [found.get(v, v) for v in values] == expected
 
 
 def test_one_document_of_each_class_stays(odd_docs, no_docs, documents):
     kept = simhash.one_per_class(documents)
-    classes = simhash.near_duplicates(documents)
+    classes = simhash.near_duplicates(documents, radius=6, prints=4)
     assert sorted(r[0] for r in kept.select("doc_id").collect()) == sorted({r[0] for r in classes.select("component_id").collect()})
     odd = simhash.one_per_class(odd_docs)
     assert odd.columns == odd_docs.columns
@@ -185,6 +187,35 @@ def test_one_document_of_each_class_stays(odd_docs, no_docs, documents):
     assert simhash.one_per_class(no_docs).count() == 0
 
 
+def test_several_prints_link_what_any_of_them_links(documents):
+    rows = documents.select("doc_id", "text").collect()
+    ids = [r["doc_id"] for r in rows]
+    prints = [simhash.majorities((r["text"] or "").encode(), 5, 3) for r in rows]
+    assert [int(p[0]) for p in prints] == [brute_fingerprint(r["text"], 5) for r in rows]
+    near = lambda i, j: np.bitwise_count(prints[i] ^ prints[j]).min() <= 6
+    root = list(range(len(ids)))
+    for i in range(len(ids)):
+        for j in range(i):
+            if root[i] != root[j] and near(i, j):
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    least = {r: min(i for i, x in zip(ids, root, strict=True) if x == r) for r in set(root)}
+    got = dict(simhash.near_duplicates(documents, 5, 6, 3).select("doc_id", "component_id").collect())
+    assert got == {i: least[r] for i, r in zip(ids, root, strict=True)}
+
+
+def test_edited_copies_lose_to_their_original(spark):
+    rng, words, rows = np.random.default_rng(3), [f"w{i}" for i in range(5000)], []
+    for i in range(60):
+        text = rng.choice(words, 400).tolist()
+        rows.append((i, " ".join(text)))
+        for at in rng.choice(400, 4, replace=False):  # about 20 of 396 shingles: similarity 0.9
+            text[at] = "edited"
+        rows.append((1000 + i, " ".join(text)))
+    kept = {r[0] for r in simhash.one_per_class(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id").collect()}
+    assert set(range(60)) <= kept and len(kept) <= 66
+
+
 # --- substrings
 
 def brute_substrings(rows, width):
