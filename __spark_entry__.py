@@ -301,7 +301,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "segment_samples": lambda x: segments.in_segment(x.labelled(), x.classes(), 2),
         "time_split": lambda x: segments.time_split(x.labelled(), CALENDAR),
         "segment_conversion": lambda x: segments.segment_conversion(x.classes(), x.labelled()),
-        "class1_rule": lambda x: segments.repeat_buyers(x.log, segments.user_classes(x.log), LAST, at_least=1),
+        "class1_rule": lambda x: segments.repeat_buyers(x.log, segments.user_classes(x.log), LAST),
         "time_split_gaps": lambda x: segments.time_split(samples.label(x.samples(GAPS), x.log, GAPS), GAPS),
         "breadth_user_90day": lambda x: breadth.trailing_distinct(x.log, LONG, ["user_id"], ["cate", "sku_id"], only_active=True),
         "active_days_90day": lambda x: trailing.active_days(x.log, LONG, ["user_id"]),

@@ -409,7 +409,7 @@ def oracle(feature_names):
     # Class 1 (nothing but purchases) does not look at the carts, so their span is of no concern here.
     out["class1_rule"] = sql(
         f"select l.user_id, count(*) as purchases from log l join classes c on c.user_id = l.user_id and c.user_class = 1 "
-        f"where l.type = 2 and l.action_date between {LAST} - 6 and {LAST} group by 1", CLASSES
+        f"where l.type = 2 and l.action_date between {LAST} - 6 and {LAST} group by 1 having count(*) >= 2", CLASSES
     )
     spread = "(values (date '2024-01-20'), (date '2024-01-25'), (date '2024-01-30')) g(anchor_date)"
     out["time_split_gaps"] = sql(dated(
