@@ -35,6 +35,8 @@ M = 10
 MAP_BITS = 28
 MAP_PARTS = 64
 HOT = 20_000
+# Text that a task works on at once; its arrays take about 30 times as much.
+SLICE_BYTES = 4 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -137,7 +139,7 @@ def repeated_minimisers(docs: DataFrame, width: int) -> tuple[np.ndarray, np.nda
     low = MAP_BITS - MAP_PARTS.bit_length() + 1
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most_bytes=SLICE_BYTES):
             found = Windows(texts(batch), width)
             first, _, keys = found.pieces() if len(found.at) else (None, None, np.empty(0, "uint64"))
             keys, place = np.unique(keys, return_inverse=True)
@@ -182,7 +184,7 @@ def repeated_spans(docs: DataFrame, width: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, hot = sent.value
-        for batch in slices(batches, most_bytes=32 << 20):
+        for batch in slices(batches, most_bytes=SLICE_BYTES):
             found = Windows(texts(batch), width)
             out: list[tuple] = []
             if len(found.at):
