@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplens.operators import enrich
+from shoplens.plans import matrix
 from shoplens.sources.tables import SCHEMAS, Tables
 
 SMALL_LIMITS = {
@@ -47,3 +48,16 @@ def test_hot_user_is_split_in_the_enrichment_join(spark, small_limits):
     counts = {r["user_id"]: r["n"] for r in per_user.collect()}
     assert counts[7] == 100_000 + 200 and sum(counts.values()) == 200_000
     assert "skew=true" in per_user._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_user_is_split_in_the_matrix_joins(spark, small_limits):
+    row = F.col("id")
+    sample = spark.range(200_000, numPartitions=8).select(
+        F.when(row % 2 == 0, 7).otherwise(row % 1000).cast("bigint").alias("user_id"), F.xxhash64("id").alias("shop_id"),
+    )
+    features = spark.range(1000).select(F.col("id").alias("user_id"), *[(row + i).alias(f"f{i}") for i in range(20)])
+    packed, places = matrix._packed(features, ["user_id"], "by_user_id")
+    total = sample.join(packed, ["user_id"], "left").selectExpr("shop_id", f"{places['f3']} as f").agg(F.sum("f"), F.max("shop_id"))
+    hot, others = 100_000, sum(i % 1000 for i in range(1, 200_000, 2))
+    assert total.collect()[0][0] == hot * 7 + others + 3 * 200_000
+    assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
