@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.llm.common import written
+
 # 13 hexadecimal digits fit a double exactly.
 UNIT = float(1 << 52)
 
@@ -81,4 +83,5 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = 17) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, epochs: float = 1.0, seed: int = 17) -> DataFrame:
-    return replicate(docs, source_rates(docs, weights, temperature, epochs), seed)
+    # Written, so that the join knows the table's exact size and does not shuffle the texts for it.
+    return replicate(docs, written(source_rates(docs, weights, temperature, epochs), "rates"), seed)
