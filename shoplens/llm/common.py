@@ -58,9 +58,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes:
 
 
 def worker_cache(name: str) -> dict:
-    """A dictionary that outlives the task in a reused Python worker; losing it costs time only."""
-    holder = sys.modules.setdefault("_shoplens_worker_cache", types.ModuleType("_shoplens_worker_cache"))
-    return holder.__dict__.setdefault(name, {})
+    """A dictionary that outlives the task in a reused Python worker; losing it costs time only. A
+    worker holds one at a time, so that what one operator remembers does not add to the next one's."""
+    holder = sys.modules.setdefault("_shoplens_worker_cache", types.ModuleType("_shoplens_worker_cache")).__dict__
+    if holder.get("_owner") != name:
+        holder.update(_owner=name, _values={})
+    return holder["_values"]
 
 
 def wide(spark: SparkSession, rows: int, per_partition: int) -> int:

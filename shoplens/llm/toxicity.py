@@ -42,7 +42,7 @@ CURVE_FOLDS, CURVE_DOCS = 5, 10_000
 BEFORE, AFTER = 1, 2  # code points that stand for the ends of a word
 UNIFORM = 1 / 256
 # Words a task tallies before it sends them on, and words a worker remembers.
-TALLIED, REMEMBERED = 500_000, 1_000_000
+TALLIED, REMEMBERED = 300_000, 500_000
 
 
 def words_in(text: str) -> list[str]:
