@@ -12,6 +12,8 @@ the added ones (``copy``, ``shuffle_key``) are replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from shoplens.llm.common import written
 
 # 13 hexadecimal digits fit a double exactly.
 UNIT = float(1 << 52)
+# Largest mean whose terms are summed from zero copies on.
+NORMAL = 700.0
 
 
 def hashed_unit(*parts: Column) -> Column:
@@ -31,18 +35,24 @@ def poisson_inverse(unit: Column, mean: Column) -> Column:
     """Smallest k with P(X <= k) >= unit for X ~ Poisson(mean).
 
     The scan ends at mean + 14 sqrt(mean) + 40, beyond which less than 2**-53 of the mass lies, so no
-    value of ``hashed_unit`` is cut. Means up to 700 keep exp(-mean) a normal number; larger ones raise.
+    value of ``hashed_unit`` is cut. Up to a mean of ``NORMAL`` exp(-mean) is a normal number and the scan
+    starts at 0. Above, it starts 14 sqrt(mean) below the mean, with less than 2**-53 of the mass before
+    it; that term is taken from Stirling's series, in a form that does not subtract large numbers.
     """
-    too_large = F.raise_error(F.lit("repetition rates above 700 are not supported"))
-    mean = F.when(mean > 700, too_large.cast("double")).otherwise(mean)
+    large = mean > NORMAL
+    first = F.when(large, F.floor(mean - 14 * F.sqrt(mean))).otherwise(0).cast("int")
     last = F.ceil(mean + 14 * F.sqrt(mean) + 40).cast("int")
-    start = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("below"), F.lit(0).alias("k"))
+    k, off = first.cast("double"), (first - mean) / mean
+    series = 1 / (12 * k) - 1 / (360 * k * k * k)
+    log_term = -mean * ((1 + off) * F.log1p(off) - off) - F.log(2 * math.pi * k) / 2 - series
+    term = F.when(large, F.exp(log_term)).otherwise(F.exp(-mean))
+    start = F.struct(term.alias("p"), term.alias("below"), first.alias("k"))
     step = lambda a, i: F.struct(
         (a["p"] * mean / i).alias("p"),
         (a["below"] + a["p"] * mean / i).alias("below"),
         F.when(a["below"] < unit, i).otherwise(a["k"]).alias("k"),
     )
-    return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda a: a["k"])
+    return F.aggregate(F.sequence(first + 1, last), start, step, lambda a: a["k"])
 
 
 def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = 0.5, epochs: float = 1.0) -> DataFrame:
