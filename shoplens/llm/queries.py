@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shoplens.llm import chat, compression_quality, line_dedup, mixing, packing, permutation_index, quality_rules, simhash, substring_dedup, toxicity
+from shoplens.llm import (
+    chat, compression_quality, line_dedup, merkle, mixing, packing, permutation_index, quality_rules, simhash,
+    substring_dedup, toxicity,
+)
 from shoplens.llm.common import table
 
 # The conversation that holds the template's own marks.
@@ -70,6 +73,20 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents, and where it finds that one in seven was tampered with."""
+    docs = table(spark, folder, "documents")
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    # One more than n_chars, also for the largest number.
+    more = F.when(hit, merkle.document_leaf(F.col("n_chars").cast("decimal(20,0)") + 1))
+    rows = docs.select("doc_id", "lang", merkle.document_leaf().alias("leaf"), more.alias("tampered"))
+    listed = merkle.manifest(rows, group="lang", order=["doc_id"])
+    listed = listed.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    proof = merkle.proof(F.col("path")).alias("proof_sha256")
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return listed.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", verified)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -81,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_compression_quality": op9_compression_quality,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle": op11_merkle,
     "pipeline": corpus_pipeline.run,
 }

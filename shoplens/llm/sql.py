@@ -86,4 +86,63 @@ SELECT any_value(d.doc_id) AS doc_id, count(g.pos) AS n_words, (count(g.pos) FIL
 FROM d LEFT JOIN g ON d.id = g.id GROUP BY d.id
 """
 
-SQL = {"op7_substring_dedup": OP7, "op1_mixing": OP1, "op4_chat": OP4, "op5_line_dedup": OP5}
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_CRC = """(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda r, b: list_reduce(list_prepend(xor(r, b), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+    4294967295))"""
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(x) for x in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _climb(name: str, nodes: str) -> str:
+    """Digests of all levels above ``nodes`` (tree, idx, n, hash)."""
+    return f"""{name} AS (
+    SELECT tree, 0 AS level, idx, n, hash FROM {nodes}
+    UNION ALL
+    SELECT tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(hash, '' ORDER BY idx))
+    FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 2, n
+)"""
+
+
+def _path(name: str, nodes: str, levels: str) -> str:
+    """Steps of each node to its root: the side of the sibling (L or R) and its digest, if there is one."""
+    return f"""{name} AS (
+    SELECT d.tree, d.idx, list(CASE WHEN s.idx % 2 = 0 THEN 'L' ELSE 'R' END || coalesce(s.hash, '') ORDER BY o.level) AS steps
+    FROM {nodes} d JOIN {levels} o ON o.tree = d.tree AND o.idx = d.idx >> o.level AND o.n > 1
+    LEFT JOIN {levels} s ON s.tree = d.tree AND s.level = o.level AND s.idx = xor(o.idx, 1)
+    GROUP BY d.tree, d.idx
+)"""
+
+
+OP11 = f"""
+WITH RECURSIVE a AS (
+    SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+        CASE WHEN coalesce({_CRC} % 7 = 0, false) THEN {_leaf('(n_chars::HUGEINT + 1)')} ELSE {_leaf('n_chars')} END AS tampered
+    FROM documents
+),
+d AS (
+    SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, leaf AS hash,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n
+    FROM a
+),
+{_climb("lv", "d")},
+t AS (SELECT 0 AS tree, tree AS idx, count(*) OVER () AS n, hash FROM lv WHERE n = 1),
+{_climb("tv", "t")},
+{_path("low", "d", "lv")},
+{_path("high", "t", "tv")},
+r AS (
+    SELECT d.doc_id, d.leaf, d.tampered, t.hash AS subroot, (SELECT hash FROM tv WHERE n = 1) AS root,
+        list_concat(coalesce(low.steps, []), coalesce(high.steps, [])) AS steps
+    FROM d JOIN t ON t.idx = d.tree LEFT JOIN low ON low.tree = d.tree AND low.idx = d.idx LEFT JOIN high ON high.idx = d.tree
+),
+f AS (
+    SELECT *, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
+        list_reduce(list_prepend(tampered, steps), lambda h, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || h ELSE h || s[2:] END)) AS folded_root
+    FROM r
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f
+"""
+
+SQL = {"op7_substring_dedup": OP7, "op1_mixing": OP1, "op4_chat": OP4, "op5_line_dedup": OP5, "op11_merkle": OP11}
