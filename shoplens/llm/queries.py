@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shoplens.llm import (
-    chat, compression_quality, line_dedup, merkle, mixing, packing, permutation_index, quality_rules, simhash,
-    substring_dedup, toxicity,
+    chat, compression_quality, hard_negatives, line_dedup, merkle, mixing, packing, permutation_index, quality_rules,
+    set_sketch, simhash, substring_dedup, toxicity,
 )
 from shoplens.llm.common import table
 
@@ -87,6 +87,16 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return listed.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", verified)
 
 
+def op12_set_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return set_sketch.near_duplicates(table(spark, folder, "documents"), shingle=5, least=85)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_toxicity": op2_toxicity,
@@ -99,5 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_compression_quality": op9_compression_quality,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle": op11_merkle,
+    "op12_set_sketch": op12_set_sketch,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }

@@ -145,4 +145,44 @@ f AS (
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f
 """
 
-SQL = {"op7_substring_dedup": OP7, "op1_mixing": OP1, "op4_chat": OP4, "op5_line_dedup": OP5, "op11_merkle": OP11}
+OP12 = """
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+),
+s AS (
+    SELECT DISTINCT id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+    FROM d
+),
+n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+p AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.id <> b.id GROUP BY a.id, b.id),
+e AS (SELECT a, b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+r AS (SELECT id AS start, id AS at FROM d UNION SELECT r.start, e.b FROM r JOIN e ON e.a = r.at),
+c AS (SELECT start, min(d.doc_id) AS component_id FROM r JOIN d ON d.id = r.at GROUP BY start)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d JOIN c ON c.start = d.id LEFT JOIN n ON n.id = d.id
+"""
+
+OP13 = """
+WITH v AS (
+    SELECT row_number() OVER () AS id, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+    SELECT a.id AS anchor, a.vec_id AS anchor_id, b.id AS other, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+    FROM v a JOIN v b ON a.id <> b.id WHERE a.vec_id % 50 = 0
+),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.vec_id) AS r
+    FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, r::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 3
+"""
+
+SQL = {"op7_substring_dedup": OP7, "op1_mixing": OP1, "op4_chat": OP4, "op5_line_dedup": OP5, "op11_merkle": OP11, "op12_set_sketch": OP12, "op13_hard_negatives": OP13}
