@@ -214,6 +214,41 @@ scored as (
   from labelled s join log l on l.user_id = s.user_id and l.action_date between s.anchor_date - 20 and s.anchor_date
   group by all)"""
 
+# Splits of the first tree: gains of each cut between distinct values, with the penalties of the objective.
+FIRST_SPLITS = """
+counts as (
+  select row_number() over () as id, s.flag,
+    count(*) filter (l.type = 1 and l.cate = s.cate and s.anchor_date - l.action_date < 7) as a,
+    count(*) filter (l.type = 1 and l.shop_id = s.shop_id and s.anchor_date - l.action_date < 7) as b,
+    count(*) filter (l.type = 1) as c
+  from labelled s join log l on l.user_id = s.user_id and l.action_date between s.anchor_date - 20 and s.anchor_date
+  group by s.user_id, s.cate, s.shop_id, s.anchor_date, s.flag),
+p as (select avg(flag::double) as p from counts),
+cells as (
+  select id, p - flag as g, p * (1 - p) as h, unnest([1, 2, 3]) as f, unnest([a, b, c]) as v from counts, p),
+cuts as (select f, v, (v + lead(v) over (partition by f order by v)) / 2.0::double as threshold from (select distinct f, v from cells)),
+{levels}
+"""
+SPLIT_LEVEL = """
+{name}_sums as (
+  select side, f, v, sum(g) as g, sum(h) as h, count(*) as n from cells join {name}_rows using (id) group by all),
+{name}_left as (
+  select side, f, v, sum(g) over w as gl, sum(h) over w as hl, sum(n) over w as nl, sum(g) over t as g, sum(h) over t as h, sum(n) over t as n
+  from {name}_sums window w as (partition by side, f order by v), t as (partition by side, f)),
+{name}_gains as (
+  select side, f, threshold, power(greatest(abs(gl) - 10, 0), 2) / (hl + 2) + power(greatest(abs(g - gl) - 10, 0), 2) / (h - hl + 2)
+    - power(greatest(abs(g) - 10, 0), 2) / (h + 2) as gain
+  from {name}_left join cuts using (f, v)
+  where nl >= 20 and n - nl >= 20 and hl >= 1e-3 and h - hl >= 1e-3 and threshold is not null),
+{name}_best as (
+  select * from (select *, row_number() over (partition by side order by round(gain, 6) desc, f, threshold) as r from {name}_gains)
+  where r = 1 and gain > 0)"""
+SPLITS = FIRST_SPLITS.format(levels=",".join([
+    "root_rows as (select id, 'root' as side from counts)", SPLIT_LEVEL.format(name="root"),
+    "next_rows as (select id, case when v <= threshold then 'left' else 'right' end as side from cells join root_best using (f))",
+    SPLIT_LEVEL.format(name="next"),
+]))
+
 CLASSES = f"""
 classes as (
   select user_id, count(*) as user_action_times, {', '.join(f'count(*) filter (type = {t}) as user_action{t}_times' for t in TYPES)},
@@ -450,6 +485,10 @@ def oracle(feature_names):
     out["gbt_score_contract"] = sql(dated(
         f"select user_id, cate, shop_id, anchor_date, flag, true as in_range, true as is_blend from base where anchor_date = {LAST}"
     ), SAMPLE, PROFILED)
+    out["gbt_first_splits"] = sql(
+        "select side as node, ['user_cate_action1_counts_7day', 'user_shop_action1_counts_7day', 'user_action1_counts_21day'][f] as feature, "
+        "threshold, round(gain, 3) as gain from (select * from root_best union all select * from next_best)", SAMPLE, SPLITS
+    )
     out["predicted_list_contract"] = sql("select user_id, cate, shop_id, 1 as rows, '' as fault from log where false")
     out["top_percentile"] = sql(dated(
         "select * from scored where score > (select quantile_cont(score, 0.92) from scored)"

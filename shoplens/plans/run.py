@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.operators import model, segments, selection
+from shoplens.operators import boosting, model, segments, selection
 from shoplens.operators.samples import SAMPLE_KEYS
 from shoplens.plans.features import feature_names
 from shoplens.session import HandOver
@@ -17,15 +17,32 @@ def scored_days(
     sample: DataFrame, calendar: Calendar, rounds: tuple[int, ...] = model.ROUNDS,
     weights: tuple[float, ...] = model.BLEND_WEIGHTS, **settings,
 ) -> DataFrame:
-    """Train on the early anchors of ``sample`` and score its last two."""
+    """Train on the early anchors of ``sample`` and score its last two; ``settings`` are those of
+    :class:`boosting.Objective`. One training and one walk along the trees serve all ``rounds``."""
     model.check_weights(len(rounds), weights)
     features = feature_names(calendar.windows)
-    boosters = model.train_boosters(segments.training_part(sample, calendar), features, rounds=rounds, **settings)
+    objective = boosting.Objective(**settings)
+    trained = boosting.train(segments.training_part(sample, calendar), features, max(rounds), objective=objective)
     late = sample.where(F.col("anchor_date") >= F.lit(calendar.before_last))
-    scored = model.blended_score(boosters, late, weights)
+    scored = blended(trained, late, rounds, weights)
     return scored.select(*SAMPLE_KEYS, "anchor_date", "flag", "score")
 
 
+def blended(
+    trained: boosting.Boosted, sample: DataFrame, rounds: tuple[int, ...], weights: tuple[float, ...] = model.BLEND_WEIGHTS
+) -> DataFrame:
+    """``sample`` with the probability after each number of ``rounds`` and their weighted sum as ``score``."""
+    parts = [f"probability_{i}" for i in range(len(rounds))]
+    return model.blend(boosting.staged_probabilities(trained, sample, rounds), parts, weights)
+
+
+def stage_aucs(trained: boosting.Boosted, sample: DataFrame, calendar: Calendar, rounds: tuple[int, ...], hand_over: HandOver) -> DataFrame:
+    """(rounds, auc) on the held-out anchors, from one walk: how the model gains with its rounds."""
+    walked = hand_over.put("stages", boosting.staged_probabilities(trained, held_out(sample, calendar), rounds))
+    found = [(r, model.area_under_curve(walked.select(F.col(f"probability_{i}").alias("score"), "flag"))) for i, r in enumerate(rounds)]
+    return sample.sparkSession.createDataFrame(found, "rounds int, auc double")
+
+
 def held_out(sample: DataFrame, calendar: Calendar) -> DataFrame:
     """Samples of the anchors that are neither trained on nor scored."""
     day = F.col("anchor_date")
@@ -44,7 +61,8 @@ def predict_lists(
     matrix: DataFrame, classes: DataFrame, calendar: Calendar, hand_over: HandOver,
     rounds: tuple[int, ...] = model.ROUNDS, weights: tuple[float, ...] = model.BLEND_WEIGHTS, **settings,
 ) -> dict[str, DataFrame]:
-    """Lists of both segment models and of the pooled model, and their consensus as ``result``.
+    """Lists of both segment models and of the pooled model, and their consensus as ``result``; ``settings``
+    are those of :class:`boosting.Objective`.
 
     Scores are written before selection: each percentile reads them several times.
     """

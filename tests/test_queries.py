@@ -17,7 +17,7 @@ def con():
 
 
 def test_only_trained_queries_lack_sql():
-    assert set(QUERIES) - set(SQL) == {"gbt_scores", "predicted_list"}
+    assert set(QUERIES) - set(SQL) == {"gbt_scores", "gbt_stage_auc", "predicted_list"}
     assert set(SQL) <= set(QUERIES)
 
 
@@ -33,4 +33,6 @@ def test_entry_has_rows(spark):
 def test_trained_queries_return_rows_in_range(spark):
     scores = QUERIES["gbt_scores"](spark, FOLDER)
     assert scores.count() > 0 and scores.where("score < 0 or score > 7 / 3.0").count() == 0
+    aucs = QUERIES["gbt_stage_auc"](spark, FOLDER).collect()
+    assert [r["rounds"] for r in aucs] == list(catalogue.TRIAL_ROUNDS) and all(0 <= r["auc"] <= 1 for r in aucs)
     assert set(QUERIES["predicted_list"](spark, FOLDER).columns) == {"user_id", "cate", "shop_id"}
