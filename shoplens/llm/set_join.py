@@ -132,8 +132,14 @@ def _bit(doc_id: Column, text_hash: Column) -> Column:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(node, shingles) of the rows ``wanted`` (doc_id, text_hash), and of some others. A bit map of fixed
-    size keeps most other texts from being worked on; none of the wanted is lost."""
+    """(node, shingles) of the rows ``wanted`` (doc_id, text_hash), and of some others."""
+    return sets_by_row(docs, wanted, shingle).select("node", "shingles").dropDuplicates(["node"])
+
+
+def sets_by_row(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, text_hash, node, shingles) of the rows ``wanted`` (doc_id, text_hash), and of some others. A bit
+    map of fixed size keeps most other texts from being worked on; none of the wanted is lost. Null ids are
+    ``NO_ID`` on both sides."""
     bit = _bit(F.col("doc_id"), F.col("text_hash"))
     words = wanted.select(bit.alias("bit")).select(F.shiftright("bit", 5).cast("int").alias("word"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("bits"))
     found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
@@ -147,11 +153,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             chosen = batch.filter(pa.array((sent.value[bit // 32] >> (bit % 32).astype("uint32") & 1).astype(bool)))
             for part in slices(iter([chosen]), most_bytes=SLICE_BYTES):
                 hashes, owner = shingle_sets(texts(part), shingle)
-                columns = [pa.array(_nodes(hashes, owner, part.num_rows)), _lists(hashes, owner, part.num_rows)]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
+                columns = [part.column("doc_id"), part.column("text_hash"), pa.array(_nodes(hashes, owner, part.num_rows)), _lists(hashes, owner, part.num_rows)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "shingles"])
 
-    sent_rows = docs.select("text", _bit(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64("text")).alias("bit"))
-    return sent_rows.mapInArrow(run, "node bigint, shingles array<bigint>").dropDuplicates(["node"])
+    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    sent_rows = named.withColumn("bit", _bit(F.col("doc_id"), F.col("text_hash")))
+    return sent_rows.mapInArrow(run, "doc_id bigint, text_hash bigint, node bigint, shingles array<bigint>")
 
 
 def _columns(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:

@@ -4,8 +4,8 @@ The fingerprint of a text is the bitwise majority of the hashes of its word shin
 at most ``radius`` bits apart are linked, and linked documents form classes.
 
 One fingerprint finds few pairs whose shingles are four fifths alike, as they differ by ten bits or so
-on average. With several ``prints``, made from the same shingle hashes by further mixing, documents are
-linked if any of their fingerprints are near: the more, the higher the share of such pairs found.
+on average. :func:`one_per_class` therefore makes several from the same shingle hashes by further mixing; any
+of them may propose a link, and the full sets decide.
 
 Candidates: 64 bits are cut into ``radius + 1`` segments on a ring. For any pair within the radius
 there is a segment from which every chain of l segments differs in at most l * radius / segments
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.common import slices, texts, wide, written
 from shoplens.llm.graph import components, forest
+from shoplens.llm.set_join import NO_ID, sets_by_row, similar
 
 # Most fingerprints of a document, and shingles worked on at once.
 MOST_PRINTS, STEP = 8, 8192
@@ -163,9 +164,9 @@ def _spread(values: np.ndarray, radius: int) -> Iterator[tuple[np.uint64, np.nda
                 rest = rest[~near]
 
 
-def links(values: DataFrame, radius: int, n_values: int) -> DataFrame:
+def links(values: DataFrame, radius: int, n_values: int, spanning: bool = True) -> DataFrame:
     """(print, a, b) links between distinct ``values`` (print, fingerprint) that connect all of one
-    print that lie within ``radius``."""
+    print that lie within ``radius``; without ``spanning`` also those that close circles, but in large places."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,7 +181,8 @@ def links(values: DataFrame, radius: int, n_values: int) -> DataFrame:
             keys, found = (np.concatenate(x) for x in zip(*parts, strict=True))
             number = keys & 7
             for k in np.unique(number).tolist():
-                a, b = forest(*_links(keys[number == k], found[number == k].view("uint64"), radius))
+                a, b = _links(keys[number == k], found[number == k].view("uint64"), radius)
+                a, b = forest(a, b) if spanning else np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
                 columns = [pa.array(np.full(len(a), k, "int32")), pa.array(a.view("int64")), pa.array(b.view("int64"))]
                 yield pa.RecordBatch.from_arrays(columns, ["print", "a", "b"])
 
@@ -191,52 +193,64 @@ def links(values: DataFrame, radius: int, n_values: int) -> DataFrame:
 
 
 def _edges(nodes: DataFrame, radius: int) -> DataFrame:
-    """(a, b) links between ``nodes`` (node, prints): equal or near in any print."""
+    """(a, b) candidate links between ``nodes`` (node, prints): equal or near in any print."""
     tagged = nodes.select("node", F.posexplode("prints").alias("print", "fingerprint"))
     # The smallest node stands for all that share a fingerprint.
     values = written(tagged.groupBy("print", "fingerprint").agg(F.min("node").alias("first")), "values")
     shared = tagged.join(values, ["print", "fingerprint"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    near = links(values, radius, values.count())
+    near = links(values, radius, values.count(), spanning=False)
     for side in ("a", "b"):
         place = values.select("print", F.col("fingerprint").alias(side), F.col("first").alias(f"node_{side}"))
         near = near.join(place, ["print", side])
-    return near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).unionByName(shared)
+    return near.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).unionByName(
+        shared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    ).where("a <> b").distinct()
 
 
-def _classes(docs: DataFrame, shingle: int, radius: int, prints: int) -> DataFrame:
-    """(doc_id, text_hash, prints, node, root, component_id) per row; ``root`` names the class."""
-    if not 1 <= prints <= MOST_PRINTS:
-        raise ValueError(f"prints must be 1 to {MOST_PRINTS}")
-    # One fingerprint is its own node; several are named by their 64-bit hash.
-    node = F.element_at("prints", 1) if prints == 1 else F.xxhash64("prints")
-    marked = written(fingerprints(docs, shingle, prints).withColumn("node", node), "fingerprints")
-    nodes = written(marked.groupBy("node").agg(F.first("prints").alias("prints"), F.min("doc_id").alias("least")), "nodes")
+def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, prints: int = 1) -> DataFrame:
+    """(doc_id, fingerprint, component_id) per row; ``component_id`` is the smallest ``doc_id`` that
+    links reach. The texts are read once; all else works on the written fingerprints."""
+    marked, nodes = _nodes(docs, shingle, prints)
     if prints == 1:
         edges = links(nodes.select(F.lit(0).alias("print"), F.col("node").alias("fingerprint")), radius, nodes.count())
     else:
         edges = _edges(nodes, radius)
-    placed = nodes.drop("prints").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(placed.select("node", "root").join(least, "root"), "node")
+    placed = nodes.select("node", "k").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = placed.groupBy("root").agg(F.min("k._sd_id").alias("least")).select("root", F.when(F.col("least") != NO_ID, F.col("least")).alias("component_id"))
+    found = marked.join(placed.select("node", "root").join(least, "root"), "node")
+    return found.select("doc_id", F.element_at("prints", 1).alias("fingerprint"), "component_id")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, prints: int = 1) -> DataFrame:
-    """(doc_id, fingerprint, component_id) per row; ``component_id`` is the smallest ``doc_id`` that
-    links reach. The texts are read once; all else works on the written fingerprints."""
-    found = _classes(docs, shingle, radius, prints)
-    return found.select("doc_id", F.element_at("prints", 1).alias("fingerprint"), "component_id")
+def _nodes(docs: DataFrame, shingle: int, prints: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, prints, node), and nodes (node, prints, k: smallest id and text hash)."""
+    if not 1 <= prints <= MOST_PRINTS:
+        raise ValueError(f"prints must be 1 to {MOST_PRINTS}")
+    # One fingerprint is its own node; several are named by their 64-bit hash.
+    node = F.element_at("prints", 1) if prints == 1 else F.xxhash64("prints")
+    marked = written(fingerprints(docs, shingle, prints).withColumn("node", node), "fingerprints")
+    key = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("_sd_id"), F.col("text_hash").alias("_sd_text"))
+    return marked, written(marked.groupBy("node").agg(F.first("prints").alias("prints"), F.min(key).alias("k")), "nodes")
 
 
-def one_per_class(docs: DataFrame, shingle: int = 5, radius: int = 6, prints: int = 4) -> DataFrame:
+def one_per_class(docs: DataFrame, shingle: int = 5, radius: int = 6, prints: int = 4, similarity: float = 0.8) -> DataFrame:
     """``docs`` reduced to one row per class: the smallest id and, of rows that share it, the smallest
     text hash; of equal rows one. Rows without id come last in this order.
 
-    The defaults find, of pairs whose shingles have a Jaccard similarity of 0.8, 0.85, 0.9 and 0.95,
-    about 45, 75, 95 and all in a hundred; below 0.7 they rarely link a pair.
+    Fingerprints within the radius propose links; each is verified by the Jaccard similarity of the full sets
+    of shingles, so nothing below ``similarity`` is linked. The defaults propose, of pairs whose shingles have a
+    similarity of 0.8, 0.85, 0.9 and 0.95, about 45, 75, 95 and all in a hundred.
     """
-    last = F.lit(int(np.iinfo("int64").max))
-    key = F.struct(F.coalesce("doc_id", last).alias("_sd_id"), F.col("text_hash").alias("_sd_text"))
-    keepers = _classes(docs, shingle, radius, prints).groupBy("root").agg(F.min(key).alias("k")).select("k.*")
+    last = F.lit(NO_ID)
+    _, nodes = _nodes(docs, shingle, prints)
+    proposed = written(_edges(nodes.select("node", "prints"), radius), "proposed")
+    wanted = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = written(nodes.join(wanted, "node", "left_semi").select("node", F.col("k._sd_id").alias("doc_id"), F.col("k._sd_text").alias("text_hash")), "named")
+    sets = sets_by_row(docs, named.select("doc_id", "text_hash"), shingle).drop("node")
+    # One set per node, as the key names a row's id and text.
+    sets = written(sets.join(named, ["doc_id", "text_hash"]).select("node", "shingles").dropDuplicates(["node"]), "sets")
+    linked = written(similar(proposed, sets, similarity).where("linked").select("a", "b"), "linked")
+    placed = nodes.select("node", "k").join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keepers = placed.groupBy("root").agg(F.min("k").alias("k")).select("k.*")
     keyed = docs.withColumns({"_sd_id": F.coalesce(F.col("doc_id").cast("long"), last), "_sd_text": F.xxhash64("text")})
     # The rows meet on the key, so equal rows are already side by side for the last step.
     kept = keyed.join(keepers, ["_sd_id", "_sd_text"], "left_semi")

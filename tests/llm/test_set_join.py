@@ -5,7 +5,6 @@ from collections import Counter
 import numpy as np
 import pytest
 
-import corpus_pipeline
 from shoplens.llm import set_join
 
 
@@ -31,7 +30,7 @@ def edited(rng, text, edits):
     return words
 
 
-def test_near_duplicate_stage_equals_brute_force(spark):
+def test_exact_join_equals_brute_force(spark):
     rng, words, texts = np.random.default_rng(5), [f"w{i}" for i in range(5000)], []
     for edits in [6, 7, 8, 8, 8, 9, 9, 10, 14, 20] * 6:  # similarity 0.86 to below 0.6, many about 0.8
         text = rng.choice(words, 400).tolist()
@@ -44,7 +43,7 @@ def test_near_duplicate_stage_equals_brute_force(spark):
     texts += [rng.choice(words, 40).tolist() + passage for _ in range(90)]
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(900, ""), (901, None), (902, "a b"), (903, "a b"), (904, "A  b"), (905, "a c")]
     docs = spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "doc_id bigint, text string").repartition(3)
-    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    kept = set_join.one_per_class(docs)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(kept_by_brute_force(rows))
 
 
