@@ -5,9 +5,8 @@ gradients, hessians and rows per (node, feature, bin): tasks keep one array per
 them up, and the driver gets the sums alone, whose size depends on leaves, features and bins, never on
 rows. Of two children only the smaller is summed; the other is its parent less the smaller.
 
-Trees are the best-first trees of a leaf limit, with one job per depth instead of one per leaf: a node's place
-in that order is the least gain on its way from the root, so all nodes that may still be among the splits are
-opened together, and the limit is applied at the end. Sums are whole numbers of 1 / ``UNIT``, so trees do not
+Trees are the best-first trees of a leaf limit, with about one job per depth instead of one per leaf: all nodes
+that may still be among the splits are opened together, and what the limit crowds out is closed at the end. Sums are whole numbers of 1 / ``UNIT``, so trees do not
 depend on partitions or on the order of addition.
 
 Margins are kept beside the bins. A job adds the latest trees to them, and every ``KEEP`` rounds the table is
@@ -105,7 +104,6 @@ class _Node:
     depth: int
     sums: np.ndarray | None  # features x bins x (gradient, hessian, rows), whole units
     totals: np.ndarray
-    reach: float = np.inf  # least gain on the way from the root, the node's own included
     gain: float = 0.0
     feature: int = -1
     bin: int = -1
@@ -113,14 +111,16 @@ class _Node:
 
 
 def bin_edges(sample: DataFrame, features: list[str], bins: int = BINS, rows: int = EDGE_ROWS) -> list[np.ndarray]:
-    """Upper edges of the bins of each feature, from about ``rows`` rows chosen by the hash of all
-    their columns: midway between distinct values if there are few, else quantiles."""
+    """Upper edges of the bins of each feature, from about ``rows`` rows chosen by the hash of their
+    other columns, such as keys (of all, if there are none but the features and one more): midway between distinct values if there are few, else quantiles."""
     if not 2 <= bins <= 256:
         raise ValueError("a bin is a byte")
     total, slots = sample.count(), 1 << 30
     cut = slots if total <= rows else int(slots * (rows / total))
-    # A limit for tables in which most rows are equal in all columns.
-    chosen = sample.where(F.pmod(F.xxhash64(*sample.columns), F.lit(slots)) < cut).limit(2 * rows).select(_packed_values(features)).toArrow()
+    others = [c for c in sample.columns if c not in set(features)]
+    named = others if len(others) > 1 else sample.columns
+    # A limit for tables in which most rows are equal in these columns.
+    chosen = sample.where(F.pmod(F.xxhash64(*named), F.lit(slots)) < cut).limit(2 * rows).select(_packed_values(features)).toArrow()
     values = _matrix(chosen.column("values"), len(features))
     edges = []
     for column in values.T:
@@ -134,13 +134,15 @@ def bin_edges(sample: DataFrame, features: list[str], bins: int = BINS, rows: in
 
 
 def _packed_values(features: list[str]):
-    # One array of doubles instead of hundreds of columns; null and NaN count as zero.
-    return F.transform(F.array(*[F.col(f).cast("double") for f in features]), lambda x: F.coalesce(F.nanvl(x, F.lit(0.0)), F.lit(0.0))).alias("values")
+    """One array of doubles instead of hundreds of columns."""
+    return F.array(*[F.col(f).cast("double") for f in features]).alias("values")
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """Packed values as a matrix; null and NaN count as zero."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    values = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return np.where(np.isnan(values), 0.0, values)
 
 
 def _bins(column: pa.Array, width: int) -> np.ndarray:
@@ -201,26 +203,38 @@ def histograms(rows: DataFrame, trees: list[Tree], part: Tree, wanted: list[int]
                 slot = base + own[i]
                 for k, weight in enumerate((gradient, hessian, None)):
                     sums[:, i, :, k] += np.bincount(slot, weight, 256 * len(wanted)).astype("int64").reshape(-1, 256)
-        found = [(n, c, sums[n, c * CHUNK : (c + 1) * CHUNK].tobytes()) for n in range(len(wanted)) for c in range(chunks)]
-        yield _rows(found)
+        yield _rows([(n, c, _sparse(sums[n, c * CHUNK : (c + 1) * CHUNK])) for n in range(len(wanted)) for c in range(chunks)])
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             for n, c, sums in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                part_sums = np.frombuffer(sums, "int64")
-                held[n, c] = held[n, c] + part_sums if (n, c) in held else part_sums
-        yield _rows([(n, c, sums.tobytes()) for (n, c), sums in held.items()])
+                if (n, c) not in held:
+                    held[n, c] = np.zeros((min(CHUNK, len(columns) - c * CHUNK), 256, 3), "int64")
+                _add(held[n, c], sums)
+        yield _rows([(n, c, _sparse(sums)) for (n, c), sums in held.items()])
 
     kind = "node int, chunk int, sums binary"
     total = rows.mapInArrow(summed, kind).repartition("node", "chunk").mapInArrow(added, kind).toArrow()
     out = np.zeros(shape, "int64")
     for n, c, sums in zip(*(total.column(x).to_pylist() for x in ("node", "chunk", "sums")), strict=True):
-        own = out[n, c * CHUNK : (c + 1) * CHUNK]
-        own[...] = np.frombuffer(sums, "int64").reshape(own.shape)
+        _add(out[n, c * CHUNK : (c + 1) * CHUNK], sums)
     return out
 
 
+def _sparse(sums: np.ndarray) -> bytes:
+    """Sums of the bins that hold rows: their numbers, then the values."""
+    flat = sums.reshape(-1, 3)
+    held = np.flatnonzero(flat[:, 2])
+    return np.int64(len(held)).tobytes() + held.astype("int64").tobytes() + flat[held].tobytes()
+
+
+def _add(sums: np.ndarray, sparse: bytes) -> None:
+    found = np.frombuffer(sparse, "int64")
+    n = int(found[0])
+    sums.reshape(-1, 3)[found[1 : n + 1]] += found[n + 1 :].reshape(-1, 3)
+
+
 def _rows(found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     node, chunk, sums = zip(*found, strict=True) if found else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array(node, pa.int32()), pa.array(chunk, pa.int32()), pa.array(sums, pa.binary())], ["node", "chunk", "sums"])
@@ -245,14 +259,13 @@ def split_gains(sums: np.ndarray, o: Objective) -> np.ndarray:
     return np.where(fits, gain, -np.inf)
 
 
-def _judged(node: _Node, columns: np.ndarray, o: Objective, above: float) -> None:
+def _judged(node: _Node, columns: np.ndarray, o: Objective) -> None:
     """Set the node's best split: the largest gain, of equal ones the first feature and bin."""
     gains = split_gains(node.sums, o)
     best = int(np.argmax(gains)) if gains.size else 0
     if node.depth < o.depth and gains.size and gains.flat[best] > 0:
         place, node.bin = divmod(best, 256)
         node.gain, node.feature = float(gains.flat[best]), int(columns[place])
-        node.reach = min(above, node.gain)
 
 
 def _arranged(root: _Node, opened: set[int], edges: list[np.ndarray], o: Objective) -> tuple[Tree, dict[int, int]]:
@@ -285,11 +298,9 @@ def grow(rows: DataFrame, trees: list[Tree], columns: np.ndarray, edges: list[np
     alone, _ = _arranged(root, opened, edges, o)
     root.sums = histograms(rows, trees, alone, [0], columns, width)[0]
     root.totals = root.sums[0].sum(axis=0)
-    _judged(root, columns, o, np.inf)
+    _judged(root, columns, o)
     while True:
-        # Nodes that splits of larger reach crowd out of the leaf limit cannot be opened.
-        splits = sorted((n for n in known if n.feature >= 0), key=lambda n: (-n.reach, n.number))[: o.leaves - 1]
-        fresh = [n for n in splits if n.number not in opened]
+        fresh = [n for n in _first_splits(root, o.leaves - 1) if n.number not in opened]
         if not fresh:
             break
         smaller = []
@@ -308,19 +319,23 @@ def grow(rows: DataFrame, trees: list[Tree], columns: np.ndarray, edges: list[np
             for (node, small), own in zip(summed, sums, strict=True):
                 for child in node.children:
                     child.sums = own if child is small else node.sums - own
-                    _judged(child, columns, o, node.reach)
+                    _judged(child, columns, o)
         for node in fresh:
             node.sums = None
-    # The splits of the limit, in the order in which the best leaf is split next.
-    chosen: set[int] = set()
+    return _arranged(root, {n.number for n in _first_splits(root, o.leaves - 1)}, edges, o)[0]
+
+
+def _first_splits(root: _Node, most: int) -> list[_Node]:
+    """The first nodes to be split if the best leaf always is next, as far as nodes are known: children still
+    unknown can only crowd others out, so what is needed in the end is always among these."""
+    chosen: list[_Node] = []
     heap = [(-root.gain, 0, root)] if root.feature >= 0 else []
-    while heap and len(chosen) < o.leaves - 1:
-        _, _, node = heapq.heappop(heap)
-        chosen.add(node.number)
-        for child in node.children:
+    while heap and len(chosen) < most:
+        chosen.append(heapq.heappop(heap)[2])
+        for child in chosen[-1].children:
             if child.feature >= 0:
                 heapq.heappush(heap, (-child.gain, child.number, child))
-    return _arranged(root, chosen, edges, o)[0]
+    return chosen
 
 
 def train(
@@ -341,7 +356,9 @@ def train(
     picked = min(len(usable), max(1, round(objective.column_share * len(features))))
     store, trees, pending = HandOver(sample.sparkSession), [], []
     try:
-        rows = store.put("rows", binned(sample, features, edges, label, start))
+        # Even parts, as the matrix may come in few files.
+        parts = sample.sparkSession.sparkContext.defaultParallelism
+        rows = store.put("rows", binned(sample, features, edges, label, start).repartition(parts))
         for number in range(rounds):
             columns = np.sort(np.random.default_rng((objective.seed, number)).choice(usable, picked, replace=False))
             trees.append(grow(rows, pending, columns, edges, objective))
