@@ -8,7 +8,8 @@ r AS (
         THEN (SELECT sum(size) FROM s) * sqrt(size) / (SELECT sum(sqrt(size)) FROM s) / size ELSE 0 END AS rate
     FROM s
 ),
-k AS (SELECT unnest(range(0, 400))::BIGINT AS k),
+m AS (SELECT ceil(max(rate) + 14 * sqrt(max(rate)) + 40)::BIGINT AS most FROM r),
+k AS (SELECT unnest(range(0, most))::BIGINT AS k FROM m),
 c AS (
     SELECT source, k, sum(CASE WHEN rate > 0 THEN exp(-rate + k * ln(rate) - lgamma(k + 1)) WHEN k = 0 THEN 1 ELSE 0 END)
         OVER (PARTITION BY source ORDER BY k) AS below
