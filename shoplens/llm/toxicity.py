@@ -11,9 +11,9 @@ ordinary) exceeds ``MARGIN`` by: length-normalised, and free of the small differ
 topic give to all words. A logistic curve on documents kept aside turns it into a score.
 
 Counts cover all labelled rows that may be learnt from, but a fifth kept for the curve; a word
-counts once per document. Grams in less than ``LEAST_SHARE`` of a class's counts are dropped, which
-bounds the model to 2 / LEAST_SHARE grams at any input size, so it can be broadcast; what is
-counted before grows with the input. The curve is fitted on at most ``CURVE_DOCS`` documents per label.
+counts once per document. A gram counts from ``LEAST_COUNT`` documents of a class on, whatever the size of the
+corpus; so the model grows with the corpus, as the spellings of its vocabulary do, and is sent as plain
+arrays. The curve is fitted on one text of at most ``CURVE_DOCS`` document ids per label.
 
 Defined results: null, empty and wordless texts have evidence 0; words are runs of letters and
 digits in lower case; contradicting labels are not learnt from; with no or one class of labels every
@@ -37,7 +37,8 @@ from shoplens.llm.common import slices, worker_cache
 from shoplens.llm.labels import attach, fold, logistic, sample, scored, training_labels
 
 ORDER, SHARED, DISCOUNT, MARGIN = 5, 2, 0.75, 3.0
-LEAST_SHARE, LEAST_COUNT = 1e-6, 2
+# Documents of a class that a gram must be in to count, at every size of the corpus.
+LEAST_COUNT = 2
 CURVE_FOLDS, CURVE_DOCS = 5, 10_000
 BEFORE, AFTER = 1, 2  # code points that stand for the ends of a word
 UNIFORM = 1 / 256
@@ -125,6 +126,14 @@ class Model:
         ratio = np.bincount(owner, np.log(p[:, 1] / p[:, 0]), len(words))
         return np.maximum(ratio - MARGIN, 0.0)
 
+    def arrays(self) -> tuple:
+        """The model as plain arrays, as workers may lack the package."""
+        return tuple((level.contexts, level.backoff, level.grams, level.own) for level in self.levels)
+
+    @staticmethod
+    def of_arrays(arrays: tuple) -> Model:
+        return Model([Level(*level) for level in arrays])
+
     def mark(self) -> int:
         return zlib.crc32(b"".join(x.tobytes() for level in self.levels for x in (level.grams, level.own)))
 
@@ -197,10 +206,10 @@ def _judge(model: Model) -> Callable[[list[str]], list[float]]:
 
 def _evidence(docs: DataFrame, model: Model, keep: str) -> DataFrame:
     """Columns of ``docs`` but ``text``, and ``evidence``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.arrays())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = _judge(sent.value)
+        judge = _judge(Model.of_arrays(sent.value))
         for batch in slices(batches, most_bytes=8 << 20):
             names = [n for n in batch.schema.names if n != "text"]
             found = pa.array(judge(_text_list(batch)), pa.float64())
@@ -214,14 +223,14 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", seed: int = 2
     usable = training_labels(labels, column).withColumn("_fold", fold(F.col("doc_id"), CURVE_FOLDS, seed))
     plain = docs.select("doc_id", "text")
     counted = count_grams(count_words(attach(plain, usable.where("_fold > 0"))))
-    totals = F.struct(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    from_all = counted.agg(totals.alias("t")).first()["t"]
-    least = [max(LEAST_COUNT, LEAST_SHARE * (from_all[c] or 0)) for c in ("n0", "n1")]
-    frequent = counted.where((F.col("n0") >= least[0]) | (F.col("n1") >= least[1])).orderBy("gram").toPandas()
+    frequent = counted.where((F.col("n0") >= LEAST_COUNT) | (F.col("n1") >= LEAST_COUNT)).orderBy("gram").toPandas()
     grams = np.frombuffer("".join(frequent["gram"]).encode("utf-32-le"), "<u4").reshape(-1, ORDER)
     model = Model(kneser_ney(grams, frequent[["n0", "n1"]].to_numpy("int64")) if len(grams) else [])
     aside = sample(usable.where("_fold = 0"), CURVE_DOCS, seed).select("doc_id", "label")
-    rows = _evidence(plain.join(F.broadcast(aside), "doc_id").select("label", "text"), model, "label int").collect()
+    # One row per id, that of the smallest text hash, whatever number of rows share it.
+    texts = plain.join(F.broadcast(aside), "doc_id").select("doc_id", F.xxhash64("text").alias("_text"), "label", "text")
+    found = _evidence(texts, model, "doc_id bigint, _text bigint, label int").groupBy("doc_id")
+    rows = found.agg(F.min(F.struct("_text", "label", "evidence")).alias("r")).select("r.*").orderBy("_text").collect()
     label = np.array([r["label"] for r in rows], "float64")
     value = np.array([r["evidence"] for r in rows], "float64")
     shares = {r["label"]: r["n"] for r in usable.where("_fold = 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -241,10 +250,10 @@ def filtered(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame
     slope, intercept = model.curve
     if slope == 0:
         return docs
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.arrays())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = _judge(sent.value)
+        judge = _judge(Model.of_arrays(sent.value))
         for batch in slices(batches, most_bytes=8 << 20):
             value = np.array(judge(_text_list(batch)))
             chance = 1 / (1 + np.exp(-(slope * value + intercept)))
