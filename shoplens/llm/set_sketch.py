@@ -10,10 +10,11 @@ Of sets that meet, the similarity is estimated by maximum likelihood from how ma
 either side or equal, given the sets' sizes. Pairs whose estimate is six standard errors below the bound are
 dropped (1e-9 of those at the bound); all others are verified on the full sets.
 
-In each meeting place some sets, the hubs, are compared with all sets of other classes, and leave it; sets
-that links already connect are not compared. Hubs multiply from round to round, and places whose sets are all
-connected close, until none is open. So copies and dense groups cost about one comparison per set and place,
-no pairs within a group are spelt out that a link makes needless, and none is left out.
+In each meeting place one set, the hub, is first compared with all others, which connects copies of one
+text at about one comparison per set and place. Places whose sets are then of several classes are compared
+in blocks of bounded size: a block of sets outside the place's largest class with each of its blocks, all by
+registers, each pair at the first place that both share, and what is likely by full sets. A block returns the
+links that connect its classes, so no pairs within a group are spelt out, and none is left out.
 
 Defined results: null texts and texts without words have empty sets and stay alone; fewer words than a
 shingle make one shingle; shingles are known by 64-bit hashes; equal sets are one node; rows repeated with
@@ -40,8 +41,8 @@ REGISTERS = BANDS * BAND
 BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 1
 SLICE_BYTES = 1 << 20
 ERRORS = 6.0
-# Hubs of a meeting place grow by this factor from round to round.
-MORE = 4
+# Most sets and bytes of a block.
+BLOCK_SETS, BLOCK_BYTES = 1024, 8 << 20
 
 
 def smallest_hashes(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -80,32 +81,36 @@ def bands(sketch: np.ndarray) -> np.ndarray:
     return key.view("int64")
 
 
+def slopes(larger: np.ndarray, smaller: np.ndarray, registers_: int, u: np.ndarray, j: np.ndarray | float) -> np.ndarray:
+    """Derivative, at similarity ``j``, of the log-likelihood of how many registers are larger or smaller in
+    the first of two sets, which holds a share ``u`` of both sets' elements. The likelihood is concave, so the
+    estimate is above ``j`` exactly where this is positive."""
+    v, share = 1 - u, (BASE - 1) / BASE
+    x, y = u - v * j, v - u * j
+    dx, dy = -v * share / (1 - x * share), -u * share / (1 - y * share)
+    p, q = -np.log1p(-x * share), -np.log1p(-y * share)
+    return larger * dx / p + smaller * dy / q - (registers_ - larger - smaller) * (dx + dy) / (np.log(BASE) - p - q)
+
+
 def estimates(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """Most likely Jaccard similarity of each pair of sketches, given the sizes of the sets."""
     larger, smaller = (a > b).sum(axis=1), (a < b).sum(axis=1)
-    equal = a.shape[1] - larger - smaller
     u = size_a / (size_a + size_b)
-    v = 1 - u
-    share = (BASE - 1) / BASE
-
-    def p(x: np.ndarray) -> np.ndarray:
-        return -np.log1p(-x * share) / np.log(BASE)
-
-    def slope(j: np.ndarray) -> np.ndarray:
-        """Derivative of the log-likelihood, which is concave in the similarity."""
-        x, y = u - v * j, v - u * j
-        dx, dy = -v * share / (1 - x * share) / np.log(BASE), -u * share / (1 - y * share) / np.log(BASE)
-        return larger * dx / p(x) + smaller * dy / p(y) - equal * (dx + dy) / (1 - p(x) - p(y))
-
-    low, high = np.zeros(len(a)), np.minimum(u / v, v / u)
+    low, high = np.zeros(len(a)), np.minimum(u / (1 - u), (1 - u) / u)
     with np.errstate(all="ignore"):
         for _ in range(30):
             middle = (low + high) / 2
-            up = slope(middle) > 0
+            up = slopes(larger, smaller, a.shape[1], u, middle) > 0
             low, high = np.where(up, middle, low), np.where(up, high, middle)
     return high
 
 
+def lowest_estimate(least: int) -> float:
+    """Estimate below which a pair is dropped."""
+    bound = least / 100
+    return bound - ERRORS * (bound * (1 - bound) / REGISTERS) ** 0.5
+
+
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, text_hash, node, n, sketch) per row, from the whole text; empty sets have no sketch."""
 
@@ -145,8 +150,7 @@ def meetings(nodes: DataFrame) -> DataFrame:
 
 def sifted(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     """(a, b, estimate) of the pairs whose estimated similarity allows for ``least`` percent."""
-    bound = least / 100
-    lowest = bound - ERRORS * (bound * (1 - bound) / REGISTERS) ** 0.5
+    lowest = lowest_estimate(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,45 +184,125 @@ def _other_classes(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where(apart).drop("root_a", "root_b")
 
 
+def blocks(named: DataFrame) -> DataFrame:
+    """(key, low, high, block, node): each set of a place (key, node, root, n) with the pairs of blocks that it
+    takes part in. The largest class of a place has blocks of its own, which do not meet each other."""
+    sizes = named.groupBy("key", "root").agg(F.count("*").alias("sets"), F.sum(8 * F.col("n") + 2 * REGISTERS).alias("bytes"))
+    needed = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    largest = F.max(F.struct("sets", "root", "bytes")).alias("main")
+    places = sizes.groupBy("key").agg(largest, F.sum("sets").alias("sets"), F.sum("bytes").alias("bytes"))
+    others = places.select("key", "main", (F.col("sets") - F.col("main.sets")).alias("sets"), (F.col("bytes") - F.col("main.bytes")).alias("bytes"))
+    counted = others.select("key", "main", needed.alias("others")).select(
+        "key", "others", F.col("main.root").alias("main_root"), F.col("main.sets").alias("sets"), F.col("main.bytes").alias("bytes")
+    ).select("key", "others", "main_root", needed.alias("mains"))
+    part = F.xxhash64("node", F.lit("block"))
+    main = F.col("root") == F.col("main_root")
+    block = F.when(main, F.col("others") + F.pmod(part, "mains")).otherwise(F.pmod(part, "others"))
+    placed = named.join(counted, "key").withColumn("block", block)
+    last = F.when(main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return met.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root")
+
+
+def _compared(rows: pa.Table, least: int) -> tuple[list[int], list[int]]:
+    """Links between the classes of the sets of two blocks of one place."""
+    key, low, high = (rows.column(c)[0].as_py() for c in ("key", "low", "high"))
+    node, root, block = (rows.column(c).to_numpy() for c in ("node", "root", "block"))
+    classes = np.unique(root, return_inverse=True)[1]
+    if classes.max(initial=0) == 0:
+        return [], []
+    sketch = _matrix(rows.column("sketch").combine_chunks())
+    keys, n, lists = bands(sketch), rows.column("n").to_numpy(), rows.column("shingles").combine_chunks()
+    flat, ends = lists.flatten().to_numpy(), np.asarray(lists.offsets) - lists.offsets[0].as_py()
+    lowest, a, b = lowest_estimate(least), [], []
+    for i in np.flatnonzero(block == low):
+        at = np.flatnonzero((block == high) & (classes != classes[i]))
+        at = at[at > i] if low == high else at
+        at = at[100 * np.minimum(n[at], n[i]) >= least * np.maximum(n[at], n[i])]
+        # Each pair at the first band that both share.
+        shared = keys[at] == keys[i]
+        at = at[keys[i][shared.argmax(axis=1)] == key]
+        if len(at):
+            larger, smaller = (sketch[i] > sketch[at]).sum(axis=1), (sketch[i] < sketch[at]).sum(axis=1)
+            with np.errstate(all="ignore"):
+                slope = slopes(larger, smaller, REGISTERS, n[i] / (n[i] + n[at]), lowest)
+            # Where sizes alone put the similarity at its bound, the slope is not defined.
+            at = at[~(slope < 0)]
+        if len(at):
+            own, sizes = flat[ends[i] : ends[i + 1]], n[at]
+            others = np.concatenate([flat[ends[j] : ends[j + 1]] for j in at])
+            hit = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
+            both = np.add.reduceat(hit.astype("int64"), np.cumsum(sizes) - sizes)
+            for j in at[100 * both >= least * (n[i] + sizes - both)]:
+                if classes[j] != classes[i]:
+                    classes[classes == classes[j]] = classes[i]
+                    a.append(int(node[i]))
+                    b.append(int(node[j]))
+    return a, b
+
+
+def block_links(met: DataFrame, nodes: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(a, b) links that connect all similar sets which share a pair of blocks of ``met``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def found(table: pa.Table) -> pa.RecordBatch:
+            a, b = _compared(table, least)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            names = [held.column(c).to_numpy() for c in ("key", "low", "high")]
+            cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in names], axis=0)) + 1
+            start = 0
+            for end in cuts.tolist():
+                yield found(held.slice(start, end - start))
+                start = end
+            held = held.slice(start)
+        if held is not None:
+            yield found(held)
+
+    full = met.join(nodes.select("node", "n", "sketch"), "node").join(sets, "node")
+    dealt = full.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return dealt.select("key", "low", "high", "block", "node", "root", "n", "sketch", "shingles").mapInArrow(run, "a bigint, b bigint")
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) of the nodes ``wanted``, and of some others, written."""
+    rows = nodes.join(wanted.distinct(), "node", "left_semi").select(F.col("least_id").alias("doc_id"), "text_hash")
+    return written(sets_of(docs, rows, shingle), "sets")
+
+
 def links(docs: DataFrame, nodes: DataFrame, shingle: int, least: int) -> DataFrame:
-    """(node, root): classes of nodes that links of ``least`` percent connect, of nodes with a link."""
-    spark = docs.sparkSession
-    open_places = written(meetings(nodes), "meetings")
-    linked = spark.createDataFrame([], "a bigint, b bigint")
-    roots = spark.createDataFrame([], "node bigint, root bigint")
-    tested, hubs = None, 1
-    while not open_places.isEmpty():
-        named = open_places.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        sizes = named.groupBy("key", "root").agg(F.count("*").alias("n"))
-        mixed = sizes.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1").select("key")
-        named = written(named.join(mixed, "key", "left_semi").join(sizes, ["key", "root"]), "named")
-        # Hubs come from the smallest classes of a place, as their sets have the most to be compared with.
-        slot = F.pmod(F.xxhash64("node", F.lit(hubs)), F.lit(hubs)).alias("slot")
-        best = named.groupBy("key", slot).agg(F.min(F.struct("n", "node", "root")).alias("hub"))
-        chosen = written(best.select("key", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root")), "hubs")
-        met = named.join(chosen, "key").where("root <> hub_root")
-        pairs = met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        likely = written(sifted(pairs, nodes, least), "likely")
-        wanted = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = nodes.join(wanted, "node", "left_semi").select(F.col("least_id").alias("doc_id"), "text_hash")
-        sets = written(sets_of(docs, wanted, shingle), "sets")
-        # First each set's likeliest partner; then what that leaves apart.
-        best_of = likely.groupBy("b").agg(F.max(F.struct("estimate", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-        for chosen_pairs in (best_of, None):
-            if chosen_pairs is None:
-                chosen_pairs = _other_classes(likely.select("a", "b").join(best_of, ["a", "b"], "left_anti"), roots)
-            found = written(verified(chosen_pairs, sets, least).where("linked").select("a", "b"), "links")
-            if not found.isEmpty():
-                linked = linked.unionByName(found)
-                roots = written(components(linked), "roots")
-        done = chosen.select("key", F.col("hub").alias("node"))
-        open_places = written(named.select("key", "node").join(done, ["key", "node"], "left_anti"), "left")
-        hubs *= MORE
-    return roots
+    """(node, root): classes of the nodes that links of ``least`` percent connect, of nodes with a link."""
+    met = written(meetings(nodes), "meetings")
+    # One hub per place, the smallest name, so that places of one group choose the same.
+    hubs = written(met.groupBy("key").agg(F.min("node").alias("hub")), "hubs")
+    others = written(met.join(hubs, "key").where("node <> hub"), "others")
+    pairs = written(others.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    likely = written(sifted(pairs, nodes, least), "likely")
+    sets = _sets(docs, nodes, likely.select(F.explode(F.array("a", "b")).alias("node")), shingle)
+    # First each set's likeliest hub; then the hubs that this leaves apart.
+    best = likely.groupBy("b").agg(F.max(F.struct("estimate", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    linked = written(verified(best, sets, least).where("linked").select("a", "b"), "links")
+    roots = written(components(linked), "roots")
+    rest = _other_classes(likely.select("a", "b").join(best, ["a", "b"], "left_anti"), roots)
+    linked = linked.unionByName(written(verified(rest, sets, least).where("linked").select("a", "b"), "more_links"))
+    roots = written(components(linked), "roots")
+    # What is left: sets of several classes in one place, without its hub.
+    named = others.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+    named = named.join(mixed, "key", "left_semi").join(nodes.select("node", "n"), "node")
+    named = written(named, "named")
+    if named.isEmpty():
+        return roots
+    sets = _sets(docs, nodes, named.select("node"), shingle)
+    found = written(block_links(blocks(named), nodes, sets, least), "block_links")
+    return components(linked.unionByName(found))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, least: int = 80) -> DataFrame:

@@ -52,7 +52,8 @@ def test_query_equals_all_pairs(spark):
 
 
 @pytest.mark.parametrize("least", [80, 95])
-def test_dense_family_and_hot_places_equal_all_pairs(spark, least):
+def test_dense_family_and_hot_places_equal_all_pairs(spark, monkeypatch, least):
+    monkeypatch.setattr(set_sketch, "BLOCK_SETS", 16)
     # A family around one text, with edits of all sizes, so that links, near misses and chains occur.
     rng = random.Random(5)
     base = [f"w{rng.randrange(5000)}" for _ in range(160)]
