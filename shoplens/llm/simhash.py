@@ -149,6 +149,16 @@ def _links(keys: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndarra
     return np.concatenate(a), np.concatenate(b)
 
 
+def _nearest(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs, for each value the nearest partner on either side: at most two per value."""
+    distance, kept = np.bitwise_count(low ^ high), np.zeros(len(low), bool)
+    for own, other in ((low, high), (high, low)):
+        order = np.lexsort((other, distance, own))
+        kept[order[np.concatenate([[True], own[order][1:] != own[order][:-1]])[: len(order)]]] = True
+    pairs = np.unique(np.stack([low[kept], high[kept]]), axis=1)
+    return pairs[0], pairs[1]
+
+
 def _spread(values: np.ndarray, radius: int) -> Iterator[tuple[np.uint64, np.ndarray]]:
     """Links that connect a large meeting place, found breadth first: a node leaves the search when
     it is reached, so a dense group costs far less than its pairs and yields no more links than nodes."""
@@ -166,7 +176,8 @@ def _spread(values: np.ndarray, radius: int) -> Iterator[tuple[np.uint64, np.nda
 
 def links(values: DataFrame, radius: int, n_values: int, spanning: bool = True) -> DataFrame:
     """(print, a, b) links between distinct ``values`` (print, fingerprint) that connect all of one
-    print that lie within ``radius``; without ``spanning`` also those that close circles, but in large places."""
+    print that lie within ``radius``; without ``spanning`` pairs that are near themselves: the nearest smaller and the
+    nearest larger value that each one meets in a task."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +193,7 @@ def links(values: DataFrame, radius: int, n_values: int, spanning: bool = True)
             number = keys & 7
             for k in np.unique(number).tolist():
                 a, b = _links(keys[number == k], found[number == k].view("uint64"), radius)
-                a, b = forest(a, b) if spanning else np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+                a, b = forest(a, b) if spanning else _nearest(np.minimum(a, b), np.maximum(a, b))
                 columns = [pa.array(np.full(len(a), k, "int32")), pa.array(a.view("int64")), pa.array(b.view("int64"))]
                 yield pa.RecordBatch.from_arrays(columns, ["print", "a", "b"])
 
@@ -199,6 +210,12 @@ def _edges(nodes: DataFrame, radius: int) -> DataFrame:
     values = written(tagged.groupBy("print", "fingerprint").agg(F.min("node").alias("first")), "values")
     shared = tagged.join(values, ["print", "fingerprint"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     near = links(values, radius, values.count(), spanning=False)
+    # Over all tasks too, each value keeps its nearest partners, so links grow with the values.
+    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("d")
+    near = written(near.select("print", "a", "b", distance), "near")
+    lower = near.groupBy("print", "b").agg(F.min(F.struct("d", "a")).alias("n")).select("print", F.col("n.a").alias("a"), "b")
+    upper = near.groupBy("print", "a").agg(F.min(F.struct("d", "b")).alias("n")).select("print", "a", F.col("n.b").alias("b"))
+    near = lower.unionByName(upper).distinct()
     for side in ("a", "b"):
         place = values.select("print", F.col("fingerprint").alias(side), F.col("first").alias(f"node_{side}"))
         near = near.join(place, ["print", side])
