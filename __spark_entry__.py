@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from shoplens.operators import (
 from shoplens.plans import run
 from shoplens.plans.features import feature_names
 from shoplens.plans.matrix import base_samples, feature_matrix, written_log
+from shoplens.resume import ResumableStore
 from shoplens.session import HandOver, tune
 from shoplens.settings import Calendar
 from shoplens.sources import standin, tables as io
@@ -39,6 +41,7 @@ LAST = date(2024, 1, 30)
 CALENDAR = Calendar.ending(LAST, as_of=date(2025, 1, 1))
 EVALUATION = Calendar.ending(date(2024, 1, 27), as_of=date(2025, 1, 1))
 HORIZONS = (1, 3, 4, 7)
+LONG_HORIZONS = (1, 3, 4, 7, 90)
 DAYS = (CALENDAR.last, CALENDAR.anchors[-2])
 SCORE = "100 * user_cate_action1_counts_7day + 10 * user_shop_action1_counts_7day + user_action1_counts_21day"
 # Anchors with gaps: the anchor before the last is not the day before it.
@@ -239,6 +242,31 @@ def _unparsed_cells(x: _Inputs) -> DataFrame:
     return io.unparsed_cells(x.spark, hand_over.path("product"), "product")
 
 
+def _quarantined_lines(x: _Inputs) -> DataFrame:
+    """Products written as lines, of which three in four are cut short, too long or torn by a quote: ids of
+    the typed rows, and the broken lines."""
+    hand_over, kind = HandOver(x.spark), F.col("sku_id") % 4
+    sku, brand, shop, cate = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("sku_id", "brand", "shop_id", "cate"))
+    whole, short, extra = F.concat_ws(",", sku, brand, shop, cate), F.concat_ws(",", sku, brand, shop), F.concat_ws(",", sku, brand, shop, cate, sku)
+    torn = F.concat_ws(",", sku, F.concat(F.lit('"'), brand), shop, cate)
+    lines = x.tables.products.select(F.when(kind == 0, whole).when(kind == 1, short).when(kind == 2, extra).otherwise(torn).alias("value"))
+    lines.write.text(hand_over.path("product"))
+    rows, broken = io.scan_with_quarantine(x.spark, hand_over.path("product"), "product", hand_over, header=False)
+    kept = rows.select(F.lit("row").alias("kind"), F.col("sku_id").cast("string").alias("line"))
+    return kept.unionByName(broken.select(F.lit("broken").alias("kind"), "line"))
+
+
+def _resumed_samples(x: _Inputs) -> DataFrame:
+    """Labelled samples that one store wrote and a second one of the same run finds again."""
+    name = uuid4().hex
+    ResumableStore(x.spark, name, CALENDAR).put("labelled", x.labelled())
+    later = ResumableStore(x.spark, name, CALENDAR)
+    found = later.put("labelled", x.labelled())
+    if later.reused != ["labelled"]:
+        raise RuntimeError("the finished table was not found again")
+    return found
+
+
 def _selection(scores: DataFrame, *wanted: int) -> DataFrame:
     percents = selection.SEGMENT_PERCENTS if len(wanted) == 1 else selection.POOLED_PERCENTS
     return selection.select_days(scores.where(F.col("user_class").isin(*wanted)), DAYS, percents)
@@ -305,6 +333,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "samples": lambda x: x.samples(),
         "samples_labelled": lambda x: samples.label(x.samples(), x.log, CALENDAR, last_data_day=LAST),
         "label_horizons": lambda x: samples.label_horizons(x.samples(), x.log, CALENDAR, HORIZONS),
+        "label_next_purchase": lambda x: samples.label_next_purchase(x.samples(), x.log, LONG_HORIZONS),
+        "resumed_samples": _resumed_samples,
+        "quarantined_lines": _quarantined_lines,
         "samples_user_cate_last_day": lambda x: samples.last_day_samples(x.log, ["user_id", "cate"]),
         "samples_user_sku": lambda x: _sample_grain(x, ["user_id", "sku_id"]),
         "samples_user_cate": lambda x: _sample_grain(x, ["user_id", "cate"]),

@@ -382,6 +382,19 @@ def oracle(feature_names):
         f"and b.action_date > s.anchor_date and b.action_date <= s.anchor_date + {h}) as int) as flag_{h}" for h in (1, 3, 4, 7)
     )
     out["label_horizons"] = sql(dated(f"select s.*, {flags} from sample s"), SAMPLE)
+    waits = ", ".join(f"cast(coalesce(b.action_date - s.anchor_date <= {h}, false) as int) as flag_{h}" for h in (1, 3, 4, 7, 90))
+    out["label_next_purchase"] = sql(dated(
+        f"select s.*, {waits} from sample s asof left join (select distinct user_id, cate, shop_id, action_date from log where type = 2) b "
+        f"on b.user_id = s.user_id and b.cate = s.cate and b.shop_id = s.shop_id and b.action_date > s.anchor_date"
+    ), SAMPLE)
+    out["resumed_samples"] = sql(dated("select * from labelled"), SAMPLE)
+    cell = {c: f"coalesce({c}::varchar, '')" for c in ("sku_id", "brand", "shop_id", "cate")}
+    start, end = f"{cell['sku_id']} || ','", f"{cell['brand']} || ',' || {cell['shop_id']}"
+    out["quarantined_lines"] = sql(
+        f"select case sku_id % 4 when 0 then 'row' else 'broken' end as kind, case sku_id % 4 when 0 then sku_id::varchar "
+        f"when 1 then {start} || {end} when 2 then {start} || {end} || ',' || {cell['cate']} || ',' || {cell['sku_id']} "
+        f"else {start} || '\"' || {end} || ',' || {cell['cate']} end as line from product"
+    )
 
     def labelled_grain(keys):
         k = ", ".join(keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.exprs import known_keys
@@ -88,3 +88,29 @@ def label_horizons(
     joined = sample.join(wait, [*keys, "anchor_date"], "left")
     flags = [F.coalesce((F.col("wait") <= h).cast("int"), F.lit(0)).alias(f"flag_{h}") for h in horizons]
     return joined.select(*keys, "anchor_date", *flags)
+
+
+def next_purchase(sample: DataFrame, log: DataFrame, keys: list[str] = SAMPLE_KEYS) -> DataFrame:
+    """(keys, anchor_date, wait): days from each distinct sample to the next purchase of its keys after the
+    anchor; null without one.
+
+    An as-of join: samples and purchases become one row per keys and day, and a running value over the
+    days in descending order is the next purchase. Nothing is repeated per day of a horizon, and hot keys
+    cost no more than their number of days.
+    """
+    day = F.col("action_date")
+    bought = known_keys(log.where(F.col("type") == PURCHASE), keys).select(*keys, day, F.lit(1).alias("bought"), F.lit(0).alias("asked"))
+    asked = sample.select(*keys, F.col("anchor_date").alias("action_date"), F.lit(0).alias("bought"), F.lit(1).alias("asked"))
+    days = asked.unionByName(bought).groupBy(*keys, "action_date").agg(F.max("bought").alias("bought"), F.max("asked").alias("asked"))
+    later = Window.partitionBy(*keys).orderBy(F.desc("action_date")).rowsBetween(Window.unboundedPreceding, -1)
+    following = F.last(F.when(F.col("bought") == 1, day), ignorenulls=True).over(later)
+    waits = days.withColumn("wait", F.datediff(following, day)).where("asked = 1")
+    return waits.select(*keys, day.alias("anchor_date"), "wait")
+
+
+def label_next_purchase(
+    sample: DataFrame, log: DataFrame, horizons: tuple[int, ...], keys: list[str] = SAMPLE_KEYS
+) -> DataFrame:
+    """Distinct samples with ``flag_{h}`` for horizons of any length, by the wait for the next purchase."""
+    flags = [F.coalesce((F.col("wait") <= h).cast("int"), F.lit(0)).alias(f"flag_{h}") for h in horizons]
+    return next_purchase(sample, log, keys).select(*keys, "anchor_date", *flags)

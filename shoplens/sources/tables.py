@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.session import HandOver
+
+# Column of a scan that holds a line which does not fit the header.
+BROKEN = "_broken_line"
 
 _TYPES = {
     "bigint": T.LongType(),
@@ -78,6 +82,28 @@ def unparsed_cells(spark: SparkSession, path: str, table: str, columns: list[str
     return counted.select(F.lit(table).alias("table_name"), F.inline(cells))
 
 
+def scan_with_quarantine(
+    spark: SparkSession, path: str, table: str, store: HandOver, columns: list[str] | None = None, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows of a CSV table, and (file_name, block_start, line) of its broken lines, from one read.
+
+    A line is broken if it has fewer or more cells than the table has columns: cut short, with a cell too many, or torn
+    by a quote that stays open. Every line that is not blank is in one of the two tables, which are read
+    from one written scan. ``block_start`` is the first byte of the part of the file that held the line.
+    Cells of whole lines that do not parse become NULL, as in :func:`read_csv`.
+    """
+    fields = {f.name: f for f in SCHEMAS[table].fields}
+    names = columns or list(fields)
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in names), T.StructField(BROKEN, T.StringType())])
+    raw = spark.read.csv(path, header=header, schema=schema, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN)
+    place = [F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("block_start")]
+    # Columns that are no part of the table are scanned too: without them the parser does not count the cells.
+    kept = [_parse(fields[c]) if c in fields else F.col(c) for c in names]
+    scanned = store.put(f"scan_{table}", raw.select(*kept, BROKEN, *place))
+    whole = scanned.where(F.col(BROKEN).isNull()).select(*[c for c in fields if c in names])
+    return whole, scanned.where(F.col(BROKEN).isNotNull()).select("file_name", "block_start", F.col(BROKEN).alias("line"))
+
+
 def _as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
