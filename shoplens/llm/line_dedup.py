@@ -2,17 +2,16 @@
 
 Distinct hashes of lines that several documents hold are dealt to shards. Each shard is a minimal
 perfect hash with arrays beside it: a 64-bit fingerprint that tells members from strangers, the
-number of documents (up to what the rule needs) and the document that keeps the line. Documents probe
-these arrays; lines are never joined.
+number of documents (up to what the rule needs) and the document that keeps the line. Documents send packed
+probes to the shards, whose arrays answer them with the numbers of the lines to drop; lines are never joined.
 
 A line's key is the line without ASCII white space at its ends, A-Z lower-cased. Keys are told apart
 by 128 hash bits (64 choose shard and index, 64 are the fingerprint).
 
 Skew: a task sends at most ``least_docs`` documents per line, the largest ids, which is enough for
 both the count and the keeper, so a line found in a third of all documents travels that often per
-slice of input only. Arrays are broadcast in groups of shards of at most ``GROUP_BYTES`` each, whose
-sizes are read first; with more than one group the documents pass once per group, over written
-tables. All lines are covered at any size.
+slice of input only. A shard with many probes answers them in parts of ``group_bytes``. The plan is the same at
+any size: no array passes through the driver, and the rows that lose lines come back to the texts by one join.
 
 Defined results: null and empty texts are one empty line; a document is its ``doc_id``: rows that
 repeat one count once, and all keep a line if they hold the largest id; null ids count as one
@@ -34,9 +33,11 @@ from shoplens.llm.common import slices, texts, wide, written
 from shoplens.llm.perfect_hash import PerfectHash
 
 SPACE = b" \t\n\x0b\x0c\r"
+# Probes of a shard that one task answers.
 GROUP_BYTES = 64 << 20
 NO_DOC = np.iinfo("int64").min
 ENTRY = np.dtype([("high", "<u8"), ("low", "<u8"), ("doc", "<i8")])
+PROBE = np.dtype([("high", "<u8"), ("low", "<u8"), ("doc", "<i8"), ("text", "<i8"), ("line", "<i8")])
 
 
 def key_of(line: bytes, shortest: int) -> bytes | None:
@@ -151,16 +152,51 @@ def line_index(docs: DataFrame, shards: int, shortest: int = 20, least_docs: int
     return written(built.where("n_lines > 0"), "line_index")
 
 
-def shard_groups(index: DataFrame, most_bytes: int = GROUP_BYTES) -> list[list[int]]:
-    """Shards in groups whose arrays fit one broadcast together, by their measured sizes."""
-    groups, room = [[]], most_bytes
-    for shard, size in index.select("shard", F.length("arrays")).orderBy("shard").collect():
-        if size > room and groups[-1]:
-            groups.append([])
-            room = most_bytes
-        groups[-1].append(shard)
-        room -= size
-    return groups
+def _probes(docs: DataFrame, shards: int, shortest: int) -> DataFrame:
+    """(shard, n_bytes, probes): per slice of the input and shard the packed lines to look up, each with the
+    row it stands in; written to the shared folder."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ids, rows = batch.column("_ld_id").to_numpy(), batch.column("_ld_text").to_numpy()
+            _, owner, line, hashes = _hashed(texts(batch), shortest)
+            probes = np.empty(len(owner), PROBE)
+            probes["high"], probes["low"], probes["line"] = hashes[:, 0], hashes[:, 1], line
+            probes["doc"], probes["text"] = ids[owner], rows[owner]
+            shard = (probes["high"] % np.uint64(shards)).astype("int64")
+            order = np.argsort(shard, kind="stable")
+            names, first = np.unique(shard[order], return_index=True)
+            packed = [x.tobytes() for x in np.split(probes[order], first[1:])] if len(names) else []
+            columns = [pa.array(names, pa.int64()), pa.array([len(x) for x in packed], pa.int64()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "n_bytes", "probes"])
+
+    sent = docs.select("_ld_id", "_ld_text", "text").mapInArrow(send, "shard bigint, n_bytes bigint, probes binary")
+    return written(sent, "line_probes")
+
+
+def dropped_lines(probes: DataFrame, index: DataFrame, least_docs: int, group_bytes: int) -> DataFrame:
+    """(_ld_id, _ld_text, _ld_dropped): per row that loses lines, their numbers. A shard with more probes than
+    ``group_bytes`` answers them in several tasks, each with the shard's arrays."""
+    parts = F.least(F.ceil(F.sum("n_bytes") / group_bytes), F.count("*")).cast("int").alias("parts")
+    sizes = probes.groupBy("shard").agg(parts)
+    asked = probes.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("probes"), "parts").cast("int"))
+    arrays = index.join(sizes, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+    def answer(asked: pa.Table, arrays: pa.Table) -> pa.Table:
+        lost = np.empty(0, PROBE)
+        if asked.num_rows and arrays.num_rows:
+            shard = Shard(arrays.column("arrays")[0].as_py(), least_docs)
+            found = []
+            for packed in asked.column("probes"):
+                probe = np.frombuffer(packed.as_buffer(), PROBE)
+                many, keeper = shard.keeper(probe["high"], probe["low"])
+                found.append(probe[many & (keeper != probe["doc"])])
+            lost = np.concatenate(found)
+        return pa.table({c: pa.array(np.ascontiguousarray(lost[n]), pa.int64()) for c, n in (("_ld_id", "doc"), ("_ld_text", "text"), ("line", "line"))})
+
+    groups = asked.select("shard", "part", "probes").groupBy("shard", "part").cogroup(arrays.select("shard", "part", "arrays").groupBy("shard", "part"))
+    lost = groups.applyInArrow(answer, "_ld_id bigint, _ld_text bigint, line bigint")
+    return lost.groupBy("_ld_id", "_ld_text").agg(F.collect_set("line").alias("_ld_dropped"))
 
 
 def dedup_lines(
@@ -171,48 +207,28 @@ def dedup_lines(
     Adds ``n_lines`` (before) and ``n_dropped``.
     """
     spark = docs.sparkSession
-    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "_dropped")]
+    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "_ld_id", "_ld_text", "_ld_dropped")]
     passed = docs.select(*own)
+    result = passed.withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
     shards = shards or max(wide(spark, 0, 1), docs.select("text").rdd.getNumPartitions())
     index = line_index(passed, shards, shortest, least_docs)
-    groups = shard_groups(index, group_bytes)
-    passed = passed.withColumn("_dropped", F.lit(None).cast("array<int>"))
-    result = passed.drop("_dropped").withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
-    for number, group in enumerate(groups):
-        arrays = {r["shard"]: bytes(r["arrays"]) for r in index.where(F.col("shard").isin(group)).collect()} if group else {}
-        sent, last = spark.sparkContext.broadcast(arrays), number == len(groups) - 1
-
-        def probe(batches: Iterator[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
-            shard_of = {k: Shard(v, least_docs) for k, v in sent.value.items()}
-            names = np.array(sorted(shard_of), "int64")
-            for batch in slices(batches):
-                ids, before = _doc_ids(batch), batch.column("_dropped").to_pylist()
-                split, owner, line, hashes = _hashed(texts(batch), shortest)
-                drop = np.zeros(len(owner), bool)
-                shard = (hashes[:, 0] % np.uint64(shards)).astype("int64")
-                order = np.argsort(shard, kind="stable")
-                for name, start, end in zip(names, np.searchsorted(shard[order], names), np.searchsorted(shard[order], names, "right"), strict=True):
-                    at = order[start:end]
-                    many, keeper = shard_of[int(name)].keeper(hashes[at, 0], hashes[at, 1])
-                    drop[at] = many & (keeper != ids[owner[at]])
-                lost = [set(x or ()) for x in before]
-                for i, j in zip(owner[drop].tolist(), line[drop].tolist(), strict=True):
-                    lost[i].add(j)
-                if not last:
-                    yield _with(batch, {"_dropped": pa.array([sorted(x) for x in lost], pa.list_(pa.int32()))}, batch.schema.names)
-                    continue
-                kept = [b"\n".join([x for j, x in enumerate(lines) if j not in gone]) if gone else b"\n".join(lines) for lines, gone in zip(split, lost, strict=True)]
-                added = {
-                    "text": pa.array(kept, pa.binary()).cast(pa.string()),
-                    "n_lines": pa.array([len(x) for x in split], pa.int64()),
-                    "n_dropped": pa.array([len(x) for x in lost], pa.int64()),
-                }
-                yield _with(batch, added, result.names)
-
-        passed = passed.mapInArrow(probe, result if last else passed.schema)
-        if not last:
-            passed = written(passed, "line_pass")
-    return passed
+    # A row is known by its id and its text; rows equal in both lose the same lines.
+    keyed = passed.withColumns({"_ld_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC)), "_ld_text": F.xxhash64("text")})
+    lost = written(dropped_lines(_probes(keyed, shards, shortest), index, least_docs, group_bytes), "dropped_lines")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            split = [text.split(b"\n") for text in texts(batch)]
+            gone = [set(x or ()) for x in batch.column("_ld_dropped").to_pylist()]
+            kept = [b"\n".join([x for j, x in enumerate(lines) if j not in out]) for lines, out in zip(split, gone, strict=True)]
+            added = {
+                "text": pa.array(kept, pa.binary()).cast(pa.string()),
+                "n_lines": pa.array([len(x) for x in split], pa.int64()),
+                "n_dropped": pa.array([len(x) for x in gone], pa.int64()),
+            }
+            yield _with(batch, added, result.names)
+
+    return keyed.join(lost, ["_ld_id", "_ld_text"], "left").mapInArrow(cut, result)
 
 
 def _with(batch: pa.RecordBatch, added: dict[str, pa.Array], names: list[str]) -> pa.RecordBatch:

@@ -100,6 +100,27 @@ def test_lines_keep_columns_and_take_empty_tables(odd_docs, no_docs):
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("group_bytes", [64 << 20, 100])
+def test_a_line_in_a_third_of_all_rows_is_dropped_in_parts(documents, group_bytes):
+    line = "a line that very many documents hold"
+    rows = [(i, "\n".join([line if i % 3 == 0 else f"line number {i} of one document only", f"tail {i}"])) for i in range(600)]
+    rows += [(3, rows[3][1])] * 5 + [(None, rows[0][1]), (None, None), (7, "")]
+    docs = documents.sparkSession.createDataFrame(rows, "doc_id bigint, text string").repartition(9)
+    got = line_dedup.dedup_lines(docs, shards=2, group_bytes=group_bytes)
+    found = none_last([tuple(r) for r in got.select("doc_id", "n_lines", "n_dropped", "text").collect()])
+    assert found == brute_lines(rows) and [r[0] for r in found if r[1] == 2 and line in r[3]] == [597]
+
+
+def test_line_probes_pass_no_array_through_the_driver(odd_docs, monkeypatch):
+    def refused(*_):
+        raise AssertionError("rows were collected")
+
+    monkeypatch.setattr(type(odd_docs), "collect", refused)
+    plan = line_dedup.dedup_lines(odd_docs)
+    monkeypatch.undo()
+    assert plan.count() == odd_docs.count()
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_perfect_hash_is_minimal(n):
     keys = np.unique(np.random.default_rng(n).integers(0, 2**63, n, dtype="uint64"))
