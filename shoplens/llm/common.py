@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute
@@ -22,9 +24,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_of_stage: ContextVar[list[HandOver] | None] = ContextVar("of_stage", default=None)
+
+
+@contextmanager
+def stage_tables() -> Iterator[None]:
+    """Removes at its end what :func:`written` has written since; results must be stored elsewhere by then."""
+    opened: list[HandOver] = []
+    before = _of_stage.set(opened)
+    try:
+        yield
+    finally:
+        _of_stage.reset(before)
+        for store in opened:
+            store.close()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once below ``spark.checkpoint.dir`` and read back: cuts the lineage for good."""
-    return HandOver(df.sparkSession).put(name, df)
+    """``df`` written once below ``spark.checkpoint.dir`` and read back: cuts the lineage for good. The table
+    stays until the end of the surrounding :func:`stage_tables`, if there is one."""
+    store, opened = HandOver(df.sparkSession), _of_stage.get()
+    if opened is not None:
+        opened.append(store)
+    return store.put(name, df)
 
 
 def words_of(text: Column) -> Column:

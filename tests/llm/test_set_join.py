@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 
 from shoplens.llm import set_join
+from shoplens.llm.common import stage_tables, written
+from shoplens.session import HandOver
 
 
 def sets_of(rows, shingle=5):
@@ -63,3 +65,19 @@ def test_prefix_leaves_out_one_less_than_a_similar_set_must_share(n):
     hashes = np.arange(n, dtype="int64")
     kept, _ = set_join.prefixes(hashes, np.zeros(n, "int64"), 1, 0.8, (hashes[:0], hashes[:0]))
     assert n - len(kept) == -(-4 * n // 5) - 1
+
+
+def test_tables_of_a_stage_go_with_it(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("shoplens.session.shared_folder", lambda spark: str(tmp_path))
+    kept = written(spark.range(3), "outside")
+    with stage_tables():
+        result = HandOver(spark).put("result", written(spark.range(5), "inside"))
+        with stage_tables():
+            written(spark.range(2), "nested")
+        assert len(list(tmp_path.iterdir())) == 3
+    assert sorted(p.name for f in tmp_path.iterdir() for p in f.iterdir() if not p.name.startswith(".")) == ["outside", "result"]
+    assert (kept.count(), result.count()) == (3, 5)
+    with pytest.raises(ValueError, match="stop"), stage_tables():
+        written(spark.range(2), "failed")
+        raise ValueError("stop")
+    assert len(list(tmp_path.iterdir())) == 2
