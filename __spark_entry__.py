@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ from checks import oracle
 from shoplens.functions.exprs import VALUE_NAMES, short_name
 from shoplens.operators import (
     boosting, breadth, catalogue, conversion, enrich, evaluate, explore, history, intervals, model, profile,
-    ranks, samples, segments, selection, sequences, shares, trailing,
+    ranks, samples, segments, selection, sequences, shares, sliding, trailing,
 )
 from shoplens.plans import run
 from shoplens.plans.features import feature_names
@@ -267,6 +267,17 @@ def _resumed_samples(x: _Inputs) -> DataFrame:
     return found
 
 
+def _daily_runs(x: _Inputs, build: Callable[..., sliding.SlidingCounts | sliding.SlidingDistinct], *what: list[str]) -> DataFrame:
+    """Counts of the eight anchors from a first day and seven runs that add a day each."""
+    hand_over = HandOver(x.spark)
+    state = build(x.spark, hand_over.path("state"), *what, buckets=8)
+    state.start(x.log, CALENDAR.first)
+    days = [hand_over.put(str(CALENDAR.first), state.counts())]
+    for _ in CALENDAR.anchors[1:]:
+        days.append(hand_over.put(str(state.advance(x.log)), state.counts()))
+    return reduce(DataFrame.unionByName, days)
+
+
 def _selection(scores: DataFrame, *wanted: int) -> DataFrame:
     percents = selection.SEGMENT_PERCENTS if len(wanted) == 1 else selection.POOLED_PERCENTS
     return selection.select_days(scores.where(F.col("user_class").isin(*wanted)), DAYS, percents)
@@ -345,6 +356,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trailing_user_cate_active": lambda x: trailing.trailing_counts(
             x.log, CALENDAR, ["user_id", "cate"], only_active=True
         ),
+        "trailing_user_cate_daily_runs": lambda x: _daily_runs(x, sliding.SlidingCounts, ["user_id", "cate"]),
+        "breadth_user_daily_runs": lambda x: _daily_runs(x, sliding.SlidingDistinct, *breadth.BREADTH[0]),
         "user_active_days": lambda x: trailing.active_days(x.log, CALENDAR, ["user_id"]),
         "breadth_user_active": lambda x: breadth.trailing_distinct(
             x.log, CALENDAR, *breadth.BREADTH[0], only_active=True

@@ -425,6 +425,8 @@ def oracle(feature_names):
         f"select t.* from ({trailing_body(('user_id', 'cate'))}) t semi join log l on l.user_id = t.user_id and l.cate = t.cate "
         f"and l.action_date = t.anchor_date"
     ))
+    out["trailing_user_cate_daily_runs"] = sql(dated(trailing_body(("user_id", "cate"))))
+    out["breadth_user_daily_runs"] = sql(dated(breadth_body(*BREADTH[0])))
     out["user_active_days"] = sql(dated(active_days_body(("user_id",))))
     for keys, values in BREADTH:
         for v in values:
