@@ -270,11 +270,12 @@ def _resumed_samples(x: _Inputs) -> DataFrame:
 def _daily_runs(x: _Inputs, build: Callable[..., sliding.SlidingCounts | sliding.SlidingDistinct], *what: list[str]) -> DataFrame:
     """Counts of the eight anchors from a first day and seven runs that add a day each."""
     hand_over = HandOver(x.spark)
+    log = written_log(x.tables, hand_over)
     state = build(x.spark, hand_over.path("state"), *what, buckets=8)
-    state.start(x.log, CALENDAR.first)
+    state.start(log, CALENDAR.first)
     days = [hand_over.put(str(CALENDAR.first), state.counts())]
     for _ in CALENDAR.anchors[1:]:
-        days.append(hand_over.put(str(state.advance(x.log)), state.counts()))
+        days.append(hand_over.put(str(state.advance(log)), state.counts()))
     return reduce(DataFrame.unionByName, days)
 
 
