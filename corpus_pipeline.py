@@ -31,8 +31,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the smallest id, and one of its rows. SimHash proposes
-    the links; each is verified on five-word shingles, whose Jaccard similarity must be 0.8 or more."""
+    """One document of each class of near duplicates: the smallest id, and one of its rows. Linked are all whose
+    five-word shingles have a Jaccard similarity of 0.8 or more: SimHash proposes, an exact join finds the rest."""
     return simhash.one_per_class(docs).select(*docs.columns)
 
 

@@ -8,6 +8,9 @@ shingles of each, in any order that is the same for all sets. Here common shingl
 passages which many documents quote are no meeting place. Which are common is counted per slice of the
 input; a miscount makes more candidates, never fewer links.
 
+Before whole sets are compared, candidates meet as bit maps in which each shingle flips one bit: two maps
+cannot differ in more bits than the sets differ in shingles, so what is too far there is no link.
+
 Places where many sets meet are first linked through one set at a time, and sets that links already
 connect are not compared again; when that brings little more, all pairs that no link connects are compared.
 
@@ -19,7 +22,7 @@ rows; other columns stay.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -38,12 +41,16 @@ PAIRWISE, HUB_ROUNDS = 48, 6
 SLICE_BYTES = 8 << 20
 # Bits of the map of texts whose sets are wanted.
 MAP_BITS = 1 << 25
+# Slots of a coarser map that is joined with the rows before their texts are sent to Python.
+SLOTS = 1 << 20
 PLACED = ("key", "node", "n", "place", "root")
 # Stands for a null id, after all others.
 NO_ID = int(np.iinfo("int64").max)
 # Room for rounding in products with ``least``.
 TINY = 1e-9
 
+Prints = Callable[[bytes], np.ndarray]
+
 
 def shingle_sets(batch: list[bytes], shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of each text, and the text's number; ordered by number and hash."""
@@ -111,20 +118,41 @@ def prefixes(hashes: np.ndarray, owner: np.ndarray, n: int, least: float, common
     return hashes[order][kept], owner[kept]
 
 
-def marks(docs: DataFrame, shingle: int, least: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, text_hash, node, n, prefix) per row: the set's name, its size and its meeting places."""
+def flips(hashes: np.ndarray) -> bytes:
+    """Bit map of a set, of a power of two bits and at least one per shingle: each shingle flips one bit."""
+    n_bits = 1 << max(6, (len(hashes) - 1).bit_length())
+    at = (hashes.view("uint64") >> np.uint64(16)) & np.uint64(n_bits - 1)
+    return np.packbits(np.bincount(at.astype("int64"), minlength=n_bits) & 1).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """In how many bits two maps differ, the longer one folded: at most the number of shingles in one set only."""
+    short, long = sorted((np.frombuffer(x, "uint8"), np.frombuffer(y, "uint8")), key=len)
+    while len(long) > len(short):
+        half = len(long) // 2
+        long = long[:half] ^ long[half:]
+    return int(np.bitwise_count(short ^ long).sum())
+
+
+def marks(docs: DataFrame, shingle: int, least: float, common: tuple[np.ndarray, np.ndarray], prints: Prints | None = None) -> DataFrame:
+    """(doc_id, text_hash, node, n, prefix, flips, prints) per row: the set's name, its size, its meeting places
+    and its bit map, and what ``prints`` makes of the text, nothing if it is not given."""
     sent = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most_bytes=SLICE_BYTES):
             rows = batch.num_rows
-            hashes, owner = shingle_sets(texts(batch), shingle)
+            found = texts(batch)
+            hashes, owner = shingle_sets(found, shingle)
+            sizes = np.bincount(owner, minlength=rows)
             columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(_nodes(hashes, owner, rows))]
-            columns += [pa.array(np.bincount(owner, minlength=rows).astype("int32")), _lists(*prefixes(hashes, owner, rows, least, sent.value), rows)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "n", "prefix"])
+            columns += [pa.array(sizes.astype("int32")), _lists(*prefixes(hashes, owner, rows, least, sent.value), rows)]
+            columns += [pa.array([flips(x) for x in np.split(hashes, np.cumsum(sizes)[:-1])], pa.binary())]
+            columns += [pa.array([prints(t) for t in found] if prints else [[]] * rows, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "n", "prefix", "flips", "prints"])
 
     plain = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    return plain.mapInArrow(run, "doc_id bigint, text_hash bigint, node bigint, n int, prefix array<bigint>")
+    return plain.mapInArrow(run, "doc_id bigint, text_hash bigint, node bigint, n int, prefix array<bigint>, flips binary, prints array<bigint>")
 
 
 def _bit(doc_id: Column, text_hash: Column) -> Column:
@@ -258,19 +286,45 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", (shared * (1 + least) >= least * (F.size("x") + F.size("y")) - TINY).alias("linked"))
 
 
-def links(placed: DataFrame, first: DataFrame, sets: DataFrame, least: float, partitions: int) -> DataFrame:
-    """(a, b) verified links that connect all sets whose similarity reaches ``least``; ``first`` are the
-    first candidates."""
-    tested, every, before, rounds = None, False, None, 0
+def possible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """``pairs`` (a, b) without those whose bit maps differ too much for that similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, n = (batch.column(c).to_pylist() for c in ("x", "y", "n"))
+            most = np.array(n, "float64") * (1 - least) / (1 + least) + TINY
+            near = np.fromiter(map(differing, x, y), "int64", len(n)) <= most
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    for side, name in (("b", "y"), ("a", "x")):
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("flips").alias(name), F.col("n").alias(f"n_{name}")), side)
+    return pairs.select("a", "b", "x", "y", (F.col("n_x") + F.col("n_y")).alias("n")).mapInArrow(run, "a bigint, b bigint")
+
+
+def compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(a, b, linked) of those ``pairs`` that bit maps leave possible, by whole sets, which are made for them alone."""
+    left = written(possible(pairs, nodes, least), "possible")
+    named = nodes.join(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    named = written(named.select(F.col("k._sj_id").alias("doc_id"), F.col("k._sj_text").alias("text_hash")), "named")
+    # The slots taken are few enough to be broadcast at any size, so most other texts never leave the scan.
+    slot = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64("text")), F.lit(SLOTS)).cast("int")
+    taken = named.select(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SLOTS)).cast("int").alias("_sj_slot")).distinct()
+    likely = docs.select("doc_id", "text", slot.alias("_sj_slot")).join(written(taken, "slots"), "_sj_slot", "left_semi")
+    return written(similar(left, written(sets_of(likely, named, shingle), "sets"), least), "compared")
+
+
+def links(placed: DataFrame, first: DataFrame, compare: Callable[[DataFrame], DataFrame], least: float, partitions: int, tested: DataFrame | None = None) -> DataFrame:
+    """(a, b) verified links that connect all sets whose similarity reaches ``least``; ``first`` are the first
+    candidates, ``tested`` (a, b, linked) what is compared already."""
+    every, before, rounds = False, None, 0
     wanted = first
     while True:
-        found = written(similar(wanted, sets, least), "compared")
+        found = compare(wanted)
         tested = found if tested is None else written(tested.unionByName(found), "tested")
         large = placed.where(F.col("met") > PAIRWISE)
         if every or large.isEmpty():
             return tested.where("linked").select("a", "b")
-        roots = written(components(tested.where("linked").select("a", "b")), "roots")
-        named = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        named = _rooted(large, tested)
         mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
         open_places = written(named.join(mixed.select("key"), "key", "left_semi"), "open_places")
         left = _open_pairs(open_places)
@@ -283,6 +337,12 @@ def links(placed: DataFrame, first: DataFrame, sets: DataFrame, least: float, pa
         wanted = candidates(open_places.select(*PLACED), least, partitions, every).join(tested, ["a", "b"], "left_anti")
 
 
+def _rooted(placed: DataFrame, tested: DataFrame) -> DataFrame:
+    """``placed`` with the class that the links so far give each set."""
+    roots = written(components(tested.where("linked").select("a", "b")), "roots")
+    return placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def _open_pairs(open_places: DataFrame) -> int:
     """Pairs of different classes in the places, whatever their sizes."""
     by_root = open_places.groupBy("key", "root").agg(F.count("*").cast("double").alias("m"))
@@ -290,21 +350,31 @@ def _open_pairs(open_places: DataFrame) -> int:
     return int(by_key.agg(F.coalesce(F.sum("p"), F.lit(0.0))).first()[0])
 
 
-def one_per_class(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+def one_per_class(docs: DataFrame, shingle: int = 5, least: float = 0.8, prints: Prints | None = None, propose: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``docs`` reduced to one row per class of similarity ``least``: the smallest id and, of rows that share
-    it, the smallest text hash; of equal rows one. Rows without id come last in this order."""
+    it, the smallest text hash; of equal rows one. Rows without id come last in this order.
+
+    ``propose`` may name pairs (a, b) of the sets (node, prints) to compare first, from what ``prints`` made of
+    their texts. What those connect is not compared again; they change the work, never the classes.
+    """
     last = F.lit(NO_ID)
     key = F.struct(F.coalesce("doc_id", last).alias("_sj_id"), F.col("text_hash").alias("_sj_text"))
-    marked = marks(docs, shingle, least, common_shingles(docs, shingle))
-    nodes = written(marked.groupBy("node").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min(key).alias("k")), "nodes")
+    marked = marks(docs, shingle, least, common_shingles(docs, shingle), prints)
+    own = [F.first(c).alias(c) for c in ("n", "prefix", "flips", "prints")]
+    nodes = written(marked.groupBy("node").agg(*own, F.min(key).alias("k")), "nodes")
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        return compared(docs, nodes, pairs, shingle, least)
+
+    tested = compare(propose(nodes.select("node", "prints"))) if propose else None
     posted = nodes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
     partitions = wide(docs.sparkSession, posted, 1_000_000)
     placed = written(places(nodes, partitions), "places")
-    first = written(candidates(placed.withColumn("root", F.col("node")).select(*PLACED), least, partitions, False), "candidates")
-    compared = first.select(F.explode(F.array("a", "b")).alias("node")).unionByName(placed.where(F.col("met") > PAIRWISE).select("node"))
-    wanted = nodes.join(compared.distinct(), "node", "left_semi").select(F.col("k._sj_id").alias("doc_id"), F.col("k._sj_text").alias("text_hash"))
-    sets = written(sets_of(docs, wanted, shingle), "sets")
-    roots = components(links(placed, first, sets, least, partitions))
+    named = placed.withColumn("root", F.col("node")) if tested is None else _rooted(placed, tested)
+    first = candidates(named.select(*PLACED), least, partitions, False)
+    if tested is not None:
+        first = first.join(tested, ["a", "b"], "left_anti")
+    roots = components(links(placed, first, compare, least, partitions, tested))
     classes = nodes.select("node", "k").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     keepers = classes.groupBy("root").agg(F.min("k").alias("k")).select("k.*")
     # The rows meet on the key, so equal rows are already side by side for the last step.

@@ -5,7 +5,8 @@ at most ``radius`` bits apart are linked, and linked documents form classes.
 
 One fingerprint finds few pairs whose shingles are four fifths alike, as they differ by ten bits or so
 on average. :func:`one_per_class` therefore makes several from the same shingle hashes by further mixing; any
-of them may propose a link, and the full sets decide.
+of them may propose a link, and the full sets decide. Similar pairs that no fingerprint brings together are
+found by the prefix filter of :mod:`shoplens.llm.set_join`, so that no link is lost.
 
 Candidates: 64 bits are cut into ``radius + 1`` segments on a ring. For any pair within the radius
 there is a segment from which every chain of l segments differs in at most l * radius / segments
@@ -29,9 +30,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.llm import set_join
 from shoplens.llm.common import slices, texts, wide, written
 from shoplens.llm.graph import components, forest
-from shoplens.llm.set_join import NO_ID, sets_by_row, similar
+from shoplens.llm.set_join import NO_ID
 
 # Most fingerprints of a document, and shingles worked on at once.
 MOST_PRINTS, STEP = 8, 8192
@@ -203,25 +205,42 @@ def links(values: DataFrame, radius: int, n_values: int, spanning: bool = True)
     return spread.mapInArrow(meet, "print int, a bigint, b bigint")
 
 
-def _edges(nodes: DataFrame, radius: int) -> DataFrame:
-    """(a, b) candidate links between ``nodes`` (node, prints): equal or near in any print."""
+def _values(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Values (print, fingerprint, first) of ``nodes`` (node, prints), and links (a, b) between those that share one:
+    the smallest node stands for all."""
     tagged = nodes.select("node", F.posexplode("prints").alias("print", "fingerprint"))
-    # The smallest node stands for all that share a fingerprint.
     values = written(tagged.groupBy("print", "fingerprint").agg(F.min("node").alias("first")), "values")
     shared = tagged.join(values, ["print", "fingerprint"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    return values, shared
+
+
+def _between_nodes(near: DataFrame, values: DataFrame, shared: DataFrame) -> DataFrame:
+    """(a, b) of nodes, a < b, from links ``near`` (print, a, b) of values, and the ``shared`` ones."""
+    for side in ("a", "b"):
+        place = values.select("print", F.col("fingerprint").alias(side), F.col("first").alias(f"node_{side}"))
+        near = near.join(place, ["print", side])
+    both = near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).unionByName(shared)
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+
+
+def _edges(nodes: DataFrame, radius: int) -> DataFrame:
+    """(a, b) links that connect all ``nodes`` (node, prints) which are equal or near in any print."""
+    values, shared = _values(nodes)
+    return _between_nodes(links(values, radius, values.count()), values, shared)
+
+
+def _proposals(nodes: DataFrame, radius: int) -> DataFrame:
+    """(a, b) pairs of ``nodes`` (node, prints) to compare first: of those equal or near in any print, each value's
+    nearest on either side, so that they grow with the values. Some links are not among them: whoever calls
+    this finds those in another way."""
+    values, shared = _values(nodes)
     near = links(values, radius, values.count(), spanning=False)
-    # Over all tasks too, each value keeps its nearest partners, so links grow with the values.
+    # Over all tasks too, each value keeps its nearest partners.
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("d")
     near = written(near.select("print", "a", "b", distance), "near")
     lower = near.groupBy("print", "b").agg(F.min(F.struct("d", "a")).alias("n")).select("print", F.col("n.a").alias("a"), "b")
     upper = near.groupBy("print", "a").agg(F.min(F.struct("d", "b")).alias("n")).select("print", "a", F.col("n.b").alias("b"))
-    near = lower.unionByName(upper).distinct()
-    for side in ("a", "b"):
-        place = values.select("print", F.col("fingerprint").alias(side), F.col("first").alias(f"node_{side}"))
-        near = near.join(place, ["print", side])
-    return near.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).unionByName(
-        shared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    ).where("a <> b").distinct()
+    return _between_nodes(lower.unionByName(upper).distinct(), values, shared)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 4, prints: int = 1) -> DataFrame:
@@ -253,22 +272,17 @@ def one_per_class(docs: DataFrame, shingle: int = 5, radius: int = 6, prints: in
     """``docs`` reduced to one row per class: the smallest id and, of rows that share it, the smallest
     text hash; of equal rows one. Rows without id come last in this order.
 
-    Fingerprints within the radius propose links; each is verified by the Jaccard similarity of the full sets
-    of shingles, so nothing below ``similarity`` is linked. The defaults propose, of pairs whose shingles have a
-    similarity of 0.8, 0.85, 0.9 and 0.95, about 45, 75, 95 and all in a hundred.
+    Linked is every pair whose sets of shingles reach ``similarity`` (Jaccard), and nothing below it. Pairs of
+    nearest fingerprints within the radius are compared first; the exact join then compares what
+    their links leave apart. Null and empty texts are one class.
     """
-    last = F.lit(NO_ID)
-    _, nodes = _nodes(docs, shingle, prints)
-    proposed = written(_edges(nodes.select("node", "prints"), radius), "proposed")
-    wanted = proposed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    named = written(nodes.join(wanted, "node", "left_semi").select("node", F.col("k._sd_id").alias("doc_id"), F.col("k._sd_text").alias("text_hash")), "named")
-    sets = sets_by_row(docs, named.select("doc_id", "text_hash"), shingle).drop("node")
-    # One set per node, as the key names a row's id and text.
-    sets = written(sets.join(named, ["doc_id", "text_hash"]).select("node", "shingles").dropDuplicates(["node"]), "sets")
-    linked = written(similar(proposed, sets, similarity).where("linked").select("a", "b"), "linked")
-    placed = nodes.select("node", "k").join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    keepers = placed.groupBy("root").agg(F.min("k").alias("k")).select("k.*")
-    keyed = docs.withColumns({"_sd_id": F.coalesce(F.col("doc_id").cast("long"), last), "_sd_text": F.xxhash64("text")})
-    # The rows meet on the key, so equal rows are already side by side for the last step.
-    kept = keyed.join(keepers, ["_sd_id", "_sd_text"], "left_semi")
-    return kept.dropDuplicates(["_sd_id", "_sd_text"]).drop("_sd_id", "_sd_text")
+    if not 1 <= prints <= MOST_PRINTS:
+        raise ValueError(f"prints must be 1 to {MOST_PRINTS}")
+
+    def of_text(text: bytes) -> np.ndarray:
+        return majorities(text, shingle, prints).view("int64")
+
+    def propose(nodes: DataFrame) -> DataFrame:
+        return _proposals(nodes, radius)
+
+    return set_join.one_per_class(docs, shingle, similarity, of_text, propose)

@@ -67,6 +67,16 @@ def test_prefix_leaves_out_one_less_than_a_similar_set_must_share(n):
     assert n - len(kept) == -(-4 * n // 5) - 1
 
 
+def test_bit_maps_never_differ_in_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(2)
+    for n, m, shared in [(0, 0, 0), (0, 1, 0), (1, 1, 1), (60, 70, 58), (64, 65, 64), (400, 500, 400), (500, 520, 100), (1000, 1100, 990), (3, 5000, 3)]:
+        found = np.unique(rng.integers(-(2**63), 2**63, n + m - shared, dtype="int64"))
+        rng.shuffle(found)
+        x, y = np.sort(found[:n]), np.sort(found[n - shared :])
+        differ = set_join.differing(set_join.flips(x), set_join.flips(y))
+        assert differ <= n + m - 2 * shared and differ == set_join.differing(set_join.flips(y), set_join.flips(x))
+
+
 def test_tables_of_a_stage_go_with_it(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("shoplens.session.shared_folder", lambda spark: str(tmp_path))
     kept = written(spark.range(3), "outside")

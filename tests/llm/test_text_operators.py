@@ -248,6 +248,39 @@ def test_edited_copies_lose_to_their_original(spark):
     assert set(range(60)) <= kept and len(kept) <= 66
 
 
+def test_no_similar_pair_is_lost_that_fingerprints_miss(spark):
+    rng, words, rows = np.random.default_rng(8), [f"w{i}" for i in range(5000)], []
+    for i in range(60):
+        text = rng.choice(words, 400).tolist()
+        rows.append((i, " ".join(text)))
+        for at in range(20, 380, 45):  # 8 edits, 40 of 396 shingles: similarity 0.817
+            text[at] = "edited"
+        rows.append((1000 + i, " ".join(text)))
+    prints = [simhash.majorities(t.encode(), 5, 4) for _, t in rows]
+    missed = [i for i in range(60) if np.bitwise_count(prints[2 * i] ^ prints[2 * i + 1]).min() > 6]
+    assert len(missed) > 10
+    kept = simhash.one_per_class(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == list(range(60))
+
+
+def test_a_link_stays_when_both_ends_have_nearer_partners(spark):
+    low = (1 << 20) | (1 << 30)
+    high = low ^ 0b111111  # six bits apart; the four others are near their own center only
+    values = [low, low ^ (1 << 20), low ^ (1 << 21), high, high ^ (1 << 30), high ^ (1 << 31)]
+    far = [int(x) for x in np.random.default_rng(1).integers(0, 2**63, len(values))]
+    nodes = spark.createDataFrame([(i, [v, f]) for i, (v, f) in enumerate(zip(values, far, strict=True))], "node bigint, prints array<bigint>")
+    assert {tuple(r) for r in simhash.components(simhash._edges(nodes, 6)).collect()} == {(i, 0) for i in range(6)}
+
+
+def test_equal_fingerprints_do_not_merge_unlike_texts(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(["same"] * 600 + words[200 * i : 200 * i + 200])) for i in range(2)]
+    prints = [simhash.majorities(t.encode(), 5, 4) for _, t in rows]
+    assert (prints[0] == prints[1]).all()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r[0] for r in simhash.one_per_class(docs).select("doc_id").collect()) == [0, 1]
+
+
 # --- substrings
 
 def brute_substrings(rows, width):
