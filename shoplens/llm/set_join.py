@@ -39,6 +39,8 @@ COMMON, COMMON_DOCS = 500_000, 4
 # Up to this many sets a meeting place is compared pair by pair at once; rounds of single sets for others.
 PAIRWISE, HUB_ROUNDS = 48, 6
 SLICE_BYTES = 8 << 20
+# Text whose shingles a worker of the exact join makes at once; they take many times its memory.
+SHINGLED_BYTES = 1 << 20
 # Bits of the map of texts whose sets are wanted.
 MAP_BITS = 1 << 25
 # Slots of a coarser map that is joined with the rows before their texts are sent to Python.
@@ -92,7 +94,8 @@ def common_shingles(docs: DataFrame, shingle: int, most: int = COMMON) -> tuple[
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most_bytes=SLICE_BYTES):
-            found, n = np.unique(shingle_sets(texts(batch), shingle)[0], return_counts=True)
+            parts = slices(iter([batch]), most_bytes=SHINGLED_BYTES)
+            found, n = np.unique(np.concatenate([shingle_sets(texts(part), shingle)[0] for part in parts]), return_counts=True)
             many = n >= COMMON_DOCS
             yield pa.RecordBatch.from_arrays([pa.array(found[many]), pa.array(n[many].astype("int64"))], ["shingle", "n"])
 
@@ -140,7 +143,7 @@ def marks(docs: DataFrame, shingle: int, least: float, common: tuple[np.ndarray,
     sent = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most_bytes=SLICE_BYTES):
+        for batch in slices(batches, most_bytes=SHINGLED_BYTES):
             rows = batch.num_rows
             found = texts(batch)
             hashes, owner = shingle_sets(found, shingle)
@@ -159,12 +162,12 @@ def _bit(doc_id: Column, text_hash: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id, text_hash), F.lit(MAP_BITS))
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, most_bytes: int = SLICE_BYTES) -> DataFrame:
     """(node, shingles) of the rows ``wanted`` (doc_id, text_hash), and of some others."""
-    return sets_by_row(docs, wanted, shingle).select("node", "shingles").dropDuplicates(["node"])
+    return sets_by_row(docs, wanted, shingle, most_bytes).select("node", "shingles").dropDuplicates(["node"])
 
 
-def sets_by_row(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+def sets_by_row(docs: DataFrame, wanted: DataFrame, shingle: int, most_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc_id, text_hash, node, shingles) of the rows ``wanted`` (doc_id, text_hash), and of some others. A bit
     map of fixed size keeps most other texts from being worked on; none of the wanted is lost. Null ids are
     ``NO_ID`` on both sides."""
@@ -179,7 +182,7 @@ def sets_by_row(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
         for batch in batches:
             bit = batch.column("bit").to_numpy()
             chosen = batch.filter(pa.array((sent.value[bit // 32] >> (bit % 32).astype("uint32") & 1).astype(bool)))
-            for part in slices(iter([chosen]), most_bytes=SLICE_BYTES):
+            for part in slices(iter([chosen]), most_bytes=most_bytes):
                 hashes, owner = shingle_sets(texts(part), shingle)
                 columns = [part.column("doc_id"), part.column("text_hash"), pa.array(_nodes(hashes, owner, part.num_rows)), _lists(hashes, owner, part.num_rows)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "shingles"])
@@ -310,7 +313,7 @@ def compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
     slot = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64("text")), F.lit(SLOTS)).cast("int")
     taken = named.select(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SLOTS)).cast("int").alias("_sj_slot")).distinct()
     likely = docs.select("doc_id", "text", slot.alias("_sj_slot")).join(written(taken, "slots"), "_sj_slot", "left_semi")
-    return written(similar(left, written(sets_of(likely, named, shingle), "sets"), least), "compared")
+    return written(similar(left, written(sets_of(likely, named, shingle, SHINGLED_BYTES), "sets"), least), "compared")
 
 
 def links(placed: DataFrame, first: DataFrame, compare: Callable[[DataFrame], DataFrame], least: float, partitions: int, tested: DataFrame | None = None) -> DataFrame:
