@@ -8,17 +8,29 @@ token windows. All stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm import line_dedup, mixing, packing, simhash, toxicity
-from shoplens.llm.common import stage_tables, table
+from shoplens.llm.common import bounded_batches, stage_tables, table
 from shoplens.session import HandOver
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _bounded(stage: Stage) -> Stage:
+    """``stage`` with Arrow batches bounded by bytes."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below one half; the model learns from the input's own texts."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -47,11 +59,11 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("line_dedup", drop_repeated_lines),
-    ("near_duplicates", drop_near_duplicates),
-    ("mixing", mix_sources),
-    ("packing", pack_windows),
+    ("toxicity", _bounded(drop_toxic)),
+    ("line_dedup", _bounded(drop_repeated_lines)),
+    ("near_duplicates", _bounded(drop_near_duplicates)),
+    ("mixing", _bounded(mix_sources)),
+    ("packing", _bounded(pack_windows)),
 ]
 
 # Trained scores, 64-bit hashes and tokenizers have no SQL counterpart.

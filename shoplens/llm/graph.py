@@ -6,18 +6,19 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import written
+from shoplens.llm.common import few, written
 
 
-def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 100, most_edges: int | None = None) -> DataFrame:
     """(node, root) for every node with an edge; ``root`` is the smallest node of its component.
 
     Alternates the large-star and the small-star step: neighbours hook to the smallest node known,
     which halves distances, so rounds grow with the logarithm of the longest chain. Each round is a
-    written table. Hubs are split by AQE, as each step is a partial aggregate and a join.
+    written table, in few files while there are few edges; ``most_edges`` bounds those of the first, if known. Hubs are
+    split by AQE, as each step is a partial aggregate and a join.
     """
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    pairs, mark = _stored(pairs)
+    pairs, mark = _stored(pairs if most_edges is None else few(pairs, most_edges))
     for _ in range(most_rounds):
         if mark[0] == 0:
             break
@@ -28,14 +29,15 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         hooked = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(hooked, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = moved.unionByName(hooked.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        pairs, now = _stored(small)
+        # A round leaves at most one edge per node and one per edge that it moves.
+        pairs, now = _stored(few(small, 2 * mark[0]))
         if now == mark:
             break
         mark = now
     else:
         raise RuntimeError("components did not settle")
     roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    return few(pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots), 2 * mark[0])
 
 
 def _stored(pairs: DataFrame) -> tuple[DataFrame, tuple]:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import slices, texts, wide, written
+from shoplens.llm.common import few, slices, texts, wide, written
 from shoplens.llm.graph import components
 
 # Shingles that come last in the order, at most, and documents of a slice that make one common.
@@ -41,6 +41,8 @@ PAIRWISE, HUB_ROUNDS = 48, 6
 SLICE_BYTES = 8 << 20
 # Text whose shingles a worker of the exact join makes at once; they take many times its memory.
 SHINGLED_BYTES = 1 << 20
+# Whole sets that one file takes.
+SETS_PER_FILE = 20_000
 # Bits of the map of texts whose sets are wanted.
 MAP_BITS = 1 << 25
 # Slots of a coarser map that is joined with the rows before their texts are sent to Python.
@@ -307,13 +309,18 @@ def possible(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
 def compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, least: float) -> DataFrame:
     """(a, b, linked) of those ``pairs`` that bit maps leave possible, by whole sets, which are made for them alone."""
     left = written(possible(pairs, nodes, least), "possible")
+    n_left = left.count()
+    if not n_left:
+        return left.withColumn("linked", F.lit(False))
     named = nodes.join(left.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
-    named = written(named.select(F.col("k._sj_id").alias("doc_id"), F.col("k._sj_text").alias("text_hash")), "named")
+    named = named.select(F.col("k._sj_id").alias("doc_id"), F.col("k._sj_text").alias("text_hash"))
+    named = written(few(named, 2 * n_left), "named")
     # The slots taken are few enough to be broadcast at any size, so most other texts never leave the scan.
     slot = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64("text")), F.lit(SLOTS)).cast("int")
     taken = named.select(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SLOTS)).cast("int").alias("_sj_slot")).distinct()
-    likely = docs.select("doc_id", "text", slot.alias("_sj_slot")).join(written(taken, "slots"), "_sj_slot", "left_semi")
-    return written(similar(left, written(sets_of(likely, named, shingle, SHINGLED_BYTES), "sets"), least), "compared")
+    likely = docs.select("doc_id", "text", slot.alias("_sj_slot")).join(written(few(taken, min(SLOTS, 2 * n_left)), "slots"), "_sj_slot", "left_semi")
+    sets = written(few(sets_of(likely, named, shingle, SHINGLED_BYTES), 2 * n_left, SETS_PER_FILE), "sets")
+    return written(few(similar(left, sets, least), n_left, SETS_PER_FILE), "compared")
 
 
 def links(placed: DataFrame, first: DataFrame, compare: Callable[[DataFrame], DataFrame], least: float, partitions: int, tested: DataFrame | None = None) -> DataFrame:
@@ -342,7 +349,8 @@ def links(placed: DataFrame, first: DataFrame, compare: Callable[[DataFrame], Da
 
 def _rooted(placed: DataFrame, tested: DataFrame) -> DataFrame:
     """``placed`` with the class that the links so far give each set."""
-    roots = written(components(tested.where("linked").select("a", "b")), "roots")
+    linked = tested.where("linked").select("a", "b")
+    roots = written(components(linked, most_edges=linked.count()), "roots")
     return placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
@@ -377,7 +385,8 @@ def one_per_class(docs: DataFrame, shingle: int = 5, least: float = 0.8, prints:
     first = candidates(named.select(*PLACED), least, partitions, False)
     if tested is not None:
         first = first.join(tested, ["a", "b"], "left_anti")
-    roots = components(links(placed, first, compare, least, partitions, tested))
+    linked = links(placed, first, compare, least, partitions, tested)
+    roots = components(linked, most_edges=linked.count())
     classes = nodes.select("node", "k").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     keepers = classes.groupBy("root").agg(F.min("k").alias("k")).select("k.*")
     # The rows meet on the key, so equal rows are already side by side for the last step.

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import set_join
-from shoplens.llm.common import slices, texts, wide, written
+from shoplens.llm.common import few, slices, texts, wide, written
 from shoplens.llm.graph import components, forest
 from shoplens.llm.set_join import NO_ID
 
@@ -209,7 +209,8 @@ def _values(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Values (print, fingerprint, first) of ``nodes`` (node, prints), and links (a, b) between those that share one:
     the smallest node stands for all."""
     tagged = nodes.select("node", F.posexplode("prints").alias("print", "fingerprint"))
-    values = written(tagged.groupBy("print", "fingerprint").agg(F.min("node").alias("first")), "values")
+    values = tagged.groupBy("print", "fingerprint").agg(F.min("node").alias("first"))
+    values = written(few(values, MOST_PRINTS * nodes.count()), "values")
     shared = tagged.join(values, ["print", "fingerprint"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     return values, shared
 
