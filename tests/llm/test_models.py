@@ -186,3 +186,11 @@ def test_pipeline_takes_odd_and_empty_tables(spark, odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES:
             now = stage(spark, now, SMALL)
         assert (now.count() > 0) == (docs is odd_docs)
+
+
+def test_queries_for_many_shards_are_not_broadcast(spark):
+    """Spark sees the size of the queries before they are repeated for every shard."""
+    table = spark.createDataFrame([(i, [float(i % 7 + 1), float(i)]) for i in range(60)], "vec_id bigint, embedding array<double>")
+    found = permutation_index.nearest(table, F.col("vec_id") % 10 == 0)
+    assert len(found.collect()) == 30
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
