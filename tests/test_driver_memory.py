@@ -1,11 +1,13 @@
-"""What reaches the driver: broadcasts by their size in memory."""
+"""What reaches the driver: broadcasts by their size in memory, and edges of bins instead of values."""
 
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.operators import boosting
 from shoplens.plans import matrix
 from shoplens.session import HandOver, broadcast_bytes, release_garbage, tune
 
@@ -51,3 +53,19 @@ def test_garbage_is_released_when_half_of_the_heap_is_used(free, times):
     lang = SimpleNamespace(Runtime=SimpleNamespace(getRuntime=lambda: runtime), System=SimpleNamespace(gc=lambda: calls.append(1)))
     release_garbage(SimpleNamespace(_jvm=SimpleNamespace(java=SimpleNamespace(lang=lang))))
     assert len(calls) == times
+
+
+def test_edges_are_found_on_executors(spark, monkeypatch):
+    names = [f"f{i}" for i in range(20)]
+    cells = [F.when(F.col("id") % 11 != 0, (F.col("id") * (i + 3)) % (10 if i % 2 else 4001)).cast("double").alias(n) for i, n in enumerate(names)]
+    sample = spark.range(4000).select("id", (F.col("id") % 2).alias("flag"), *cells)
+    values = np.array([[x or 0.0 for x in r] for r in sample.select(*names).collect()])
+    sent, plain = [], type(sample).toArrow
+    monkeypatch.setattr(type(sample), "toArrow", lambda self: sent.append(plain(self)) or sent[-1])
+    edges = boosting.bin_edges(sample, names)
+    for i, own in enumerate(edges):
+        distinct = np.unique(values[:, i])
+        inner = np.quantile(values[:, i], np.arange(1, 255) / 255, method="inverted_cdf")
+        expected = (distinct[1:] + distinct[:-1]) / 2 if len(distinct) <= 255 else np.unique(inner[inner < distinct[-1]])
+        assert np.array_equal(own, expected)
+    assert sum(t.nbytes for t in sent) < values.nbytes / 4
